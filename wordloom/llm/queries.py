@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from wordloom.llm.line_quality import OP2_SQL, op2_line_quality
+from wordloom.llm.mix_sources import OP6_SQL, op6_mix_sources
 from wordloom.llm.simhash_dedup import op5_simhash_dedup
 
 QUERIES = {
+    "op2_line_quality": op2_line_quality,
     "op5_simhash_dedup": op5_simhash_dedup,
+    "op6_mix_sources": op6_mix_sources,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: Where SQL can't state the whole result (5), the tests compare with a brute-force version.
+ORACLE_SQL: dict[str, str] = {
+    "op2_line_quality": OP2_SQL,
+    "op6_mix_sources": OP6_SQL,
+}
