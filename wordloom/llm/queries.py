@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from wordloom.llm.line_quality import OP2_SQL, op2_line_quality
 from wordloom.llm.mix_sources import OP6_SQL, op6_mix_sources
+from wordloom.llm.prefix_bpe import op10_prefix_bpe
 from wordloom.llm.simhash_dedup import op5_simhash_dedup
+from wordloom.llm.token_counts import op4_token_counts
 
 QUERIES = {
     "op2_line_quality": op2_line_quality,
+    "op4_token_counts": op4_token_counts,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op6_mix_sources": op6_mix_sources,
+    "op10_prefix_bpe": op10_prefix_bpe,
 }
 
-#: Where SQL can't state the whole result (5), the tests compare with a brute-force version.
+#: Where SQL can't state the whole result, the tests compare with a brute-force version or a library.
 ORACLE_SQL: dict[str, str] = {
     "op2_line_quality": OP2_SQL,
     "op6_mix_sources": OP6_SQL,
