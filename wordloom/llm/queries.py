@@ -2,22 +2,28 @@
 
 from __future__ import annotations
 
+from wordloom.llm.html_paths import OP1_SQL, op1_html_paths
 from wordloom.llm.line_quality import OP2_SQL, op2_line_quality
 from wordloom.llm.mix_sources import OP6_SQL, op6_mix_sources
 from wordloom.llm.prefix_bpe import op10_prefix_bpe
 from wordloom.llm.simhash_dedup import op5_simhash_dedup
 from wordloom.llm.token_counts import op4_token_counts
+from wordloom.llm.warc_zstd import OP7_SQL, op7_warc_zstd
 
 QUERIES = {
+    "op1_html_paths": op1_html_paths,
     "op2_line_quality": op2_line_quality,
     "op4_token_counts": op4_token_counts,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op6_mix_sources": op6_mix_sources,
+    "op7_warc_zstd": op7_warc_zstd,
     "op10_prefix_bpe": op10_prefix_bpe,
 }
 
 #: Where SQL can't state the whole result, the tests compare with a brute-force version or a library.
 ORACLE_SQL: dict[str, str] = {
+    "op1_html_paths": OP1_SQL,
     "op2_line_quality": OP2_SQL,
     "op6_mix_sources": OP6_SQL,
+    "op7_warc_zstd": OP7_SQL,
 }
