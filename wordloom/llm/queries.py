@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from wordloom.llm.embedding_dedup import op8_embedding_dedup
 from wordloom.llm.html_paths import OP1_SQL, op1_html_paths
 from wordloom.llm.line_quality import OP2_SQL, op2_line_quality
 from wordloom.llm.mix_sources import OP6_SQL, op6_mix_sources
@@ -17,6 +18,7 @@ QUERIES = {
     "op5_simhash_dedup": op5_simhash_dedup,
     "op6_mix_sources": op6_mix_sources,
     "op7_warc_zstd": op7_warc_zstd,
+    "op8_embedding_dedup": op8_embedding_dedup,
     "op10_prefix_bpe": op10_prefix_bpe,
 }
 
