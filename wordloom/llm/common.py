@@ -77,11 +77,11 @@ def drop_scratch() -> None:
             return
 
 
-def materialize(df: DataFrame, what: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, what: str = "stage", compression: str = "snappy") -> DataFrame:
     """Cut the lineage with a table in the shared folder, so a lost executor costs a reread and not a recomputation."""
     spark = df.sparkSession
     path = scratch_path(spark, what)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from wordloom.llm.embedding_dedup import op8_embedding_dedup
+from wordloom.llm.hmm_lm import op3_hmm_lm
 from wordloom.llm.html_paths import OP1_SQL, op1_html_paths
 from wordloom.llm.line_quality import OP2_SQL, op2_line_quality
 from wordloom.llm.mix_sources import OP6_SQL, op6_mix_sources
@@ -14,6 +15,7 @@ from wordloom.llm.warc_zstd import OP7_SQL, op7_warc_zstd
 QUERIES = {
     "op1_html_paths": op1_html_paths,
     "op2_line_quality": op2_line_quality,
+    "op3_hmm_lm": op3_hmm_lm,
     "op4_token_counts": op4_token_counts,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op6_mix_sources": op6_mix_sources,
