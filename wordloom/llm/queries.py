@@ -10,6 +10,7 @@ from wordloom.llm.mix_sources import OP6_SQL, op6_mix_sources
 from wordloom.llm.prefix_bpe import op10_prefix_bpe
 from wordloom.llm.simhash_dedup import op5_simhash_dedup
 from wordloom.llm.token_counts import op4_token_counts
+from wordloom.llm.toxicity_ftrl import op9_toxicity_ftrl
 from wordloom.llm.warc_zstd import OP7_SQL, op7_warc_zstd
 
 QUERIES = {
@@ -21,6 +22,7 @@ QUERIES = {
     "op6_mix_sources": op6_mix_sources,
     "op7_warc_zstd": op7_warc_zstd,
     "op8_embedding_dedup": op8_embedding_dedup,
+    "op9_toxicity_ftrl": op9_toxicity_ftrl,
     "op10_prefix_bpe": op10_prefix_bpe,
 }
 

@@ -1,9 +1,10 @@
 """Toxicity by FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
-Features of a text, each counted once: words, pairs of neighbours, and pairs with one or two words between them; words
-have A-Z lower-cased and ASCII punctuation cut off at both ends. They are hashed to 2**BITS coordinates. FTRL-proximal
-keeps a learning rate for each coordinate, and its L1 term leaves most weights at exactly zero, so the model is a
-short list: at most 2**BITS pairs (12 MB at 20 bits), a bound that doesn't depend on the data, whatever is broadcast.
+Features of a text, each counted once: words, word beginnings (five characters), pairs of neighbours, and pairs with one
+or two words between them; words have A-Z lower-cased and ASCII punctuation cut off at both ends. They are hashed to
+2**BITS coordinates; those of fewer than MIN_ROWS training rows are left out. FTRL-proximal keeps a learning rate for
+each coordinate, and its L1 term leaves most weights at exactly zero, so the model is a short list: at most 2**BITS
+pairs (12 MB at 20 bits), a bound that doesn't depend on the data. Errors on toxic rows weigh TOXIC_WEIGHT times.
 
 The classifier is fitted on a bounded sample of labelled rows: rows whose hash lies under MAX_TRAIN / (labelled rows),
 about MAX_TRAIN (8000) rows at any size of the corpus. The hash is of the id and drawn before labels and texts are
@@ -30,8 +31,11 @@ from wordloom.llm.common import doc_hash_mod, read_table
 
 BITS = 20
 MAX_TRAIN = 8000
-ALPHA, BETA, L1, L2 = 0.15, 1.0, 1.0, 0.1
-EPOCHS = 5
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 16.0, 0.01
+EPOCHS = 8
+MIN_ROWS = 3
+TOXIC_WEIGHT = 8.0
+STEM = 5
 FOLDS = 5
 _EDGES = b".,;:!?\"'()[]{}|<>*#$%&-_/\\"
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
@@ -42,20 +46,34 @@ class WordHashes(dict):
 
     LIMIT = 1_000_000
 
+    def __init__(self, stem: int | None = None):
+        super().__init__()
+        self.stem = stem
+
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
             self.clear()
         bare = word.strip(_EDGES) or word
+        if self.stem:
+            bare = b"^" + bare.decode()[: self.stem].encode()
         self[word] = x = (zlib.crc32(bare) << 32) | zlib.adler32(bare[::-1] + b"~")
         return x
 
 
-def features(text: str | None, hashes: WordHashes, bits: int = BITS) -> np.ndarray:
+class Hasher:
+    """The word and word-beginning hashes of a task."""
+
+    def __init__(self):
+        self.words, self.stems = WordHashes(), WordHashes(STEM)
+
+
+def features(text: str | None, hashes: Hasher, bits: int = BITS) -> np.ndarray:
     """Hashed coordinates of a text, with repeats."""
     words = text.encode().lower().split() if text else []
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+    h = np.fromiter(map(hashes.words.__getitem__, words), np.uint64, len(words))
+    stems = np.fromiter(map(hashes.stems.__getitem__, words), np.uint64, len(words))
     shift = np.uint64(64 - bits)
-    parts = [(h * _MULT[0]) >> shift]
+    parts = [(h * _MULT[0]) >> shift, (stems * _MULT[0]) >> shift]
     for gap in (1, 2, 3):
         if len(h) > gap:
             parts.append(((h[:-gap] * _MULT[1] + h[gap:] * _MULT[2] + _MULT[gap + 1]) * _MULT[0]) >> shift)
@@ -65,6 +83,10 @@ def features(text: str | None, hashes: WordHashes, bits: int = BITS) -> np.ndarr
 def train(rows: list[tuple[np.ndarray, int]], bits: int = BITS, epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndarray, float]:
     """Unique coordinates and label of each row -> indices and values of the nonzero weights, and the bias."""
     z, n = np.zeros(1 << bits), np.zeros(1 << bits)
+    seen = np.zeros(1 << bits, np.int32)
+    for x, _ in rows:
+        seen[x] += 1
+    rows = [(x[seen[x] >= MIN_ROWS], y) for x, y in rows]
     toxic = sum(y for _, y in rows)
     prior = float(np.log((toxic + 0.5) / (len(rows) - toxic + 1.5)))
     for _ in range(epochs):
@@ -72,7 +94,7 @@ def train(rows: list[tuple[np.ndarray, int]], bits: int = BITS, epochs: int = EP
             zx, nx = z[x], n[x]
             w = np.where(np.abs(zx) > L1, (np.sign(zx) * L1 - zx) / ((BETA + np.sqrt(nx)) / ALPHA + L2), 0.0)
             p = 1.0 / (1.0 + np.exp(-np.clip(prior + w.sum(), -35, 35)))
-            g = p - y
+            g = (p - y) * (TOXIC_WEIGHT if y else 1.0)
             sigma = (np.sqrt(nx + g * g) - np.sqrt(nx)) / ALPHA
             z[x] += g - sigma * w
             n[x] += g * g
@@ -92,7 +114,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "
     sample = texts.join(truth, "id").select(F.xxhash64("id").alias("h"), "id", "text", "y")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, rows = WordHashes(), []
+        hashes, rows = Hasher(), []
         for b in batches:
             for text, y in zip(b.column(2), b.column(3).to_pylist(), strict=True):
                 rows.append((np.unique(features(text.as_py(), hashes)), y))
@@ -108,7 +130,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "
     return np.frombuffer(bytes(got["at"]), "<i4").astype(np.int64), np.frombuffer(bytes(got["w"]), "<f8"), got["prior"]
 
 
-def score_text(text: str | None, table: np.ndarray, prior: float, hashes: WordHashes, bits: int = BITS) -> float:
+def score_text(text: str | None, table: np.ndarray, prior: float, hashes: Hasher, bits: int = BITS) -> float:
     x = features(text, hashes, bits)
     x = np.unique(x[table[x] != 0])
     return float(1.0 / (1.0 + np.exp(-np.clip(prior + table[x].sum(), -35, 35))))
@@ -129,7 +151,7 @@ def scorer(spark: SparkSession, model):
 
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         at, w, prior = sent.value
-        table, hashes = np.zeros(1 << BITS), WordHashes()
+        table, hashes = np.zeros(1 << BITS), Hasher()
         table[at] = w
         for texts in batches:
             yield texts.map(lambda t: score_text(t if isinstance(t, str) else None, table, prior, hashes)).astype("float64")
