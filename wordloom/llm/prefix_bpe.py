@@ -22,6 +22,7 @@ import hashlib
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -90,7 +91,7 @@ class PrefixBpe:
         ordered = sorted(self.added, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, ordered)) + ")") if ordered else None
         self.pairs: dict[int, bool] = {}
-        self.known: dict[str, tuple[str, bytes]] = {}
+        self.known: dict[str, tuple[str, bytes, bytes]] = {}
 
     def _apart(self, left: int, right: int, until: int) -> bool:
         """Whether no merge across the border comes before `until`, the time at which the two tokens are used up."""
@@ -149,75 +150,86 @@ class PrefixBpe:
     def decode(self, ids) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", errors="replace")
 
-    def _piece(self, piece: str) -> tuple[str, bytes]:
-        """The decimal ids of a pre-token, and the bytes that its ids decode to."""
+    def _piece(self, piece: str) -> tuple[str, bytes, bytes]:
+        """The decimal ids of a pre-token, the bytes that its ids decode to, and the ids as four bytes each."""
         found = self.known.get(piece)
         if found is None:
             ids = self.encode_bytes(piece.encode())
-            found = ",".join(map(str, ids)), b"".join(map(self.bytes_of.__getitem__, ids))
+            found = ",".join(map(str, ids)), b"".join(map(self.bytes_of.__getitem__, ids)), np.array(ids, "<i4").tobytes()
             if len(piece) <= LONGEST_REMEMBERED:
                 if len(self.known) >= REMEMBERED:
                     self.known.clear()
                 self.known[piece] = found
         return found
 
-    def pieces(self, text: str) -> Iterator[tuple[str, bytes]]:
+    def pieces(self, text: str) -> Iterator[tuple[str, bytes, bytes]]:
         known, piece = self.known, self._piece
         parts = self.special.split(text) if self.special else [text]
         for k, part in enumerate(parts):
             if k % 2:
-                yield str(self.added[part]), part.encode()
+                yield str(self.added[part]), part.encode(), np.array([self.added[part]], "<i4").tobytes()
             elif part:
                 for p in self.split.findall(part):
                     yield known.get(p) or piece(p)
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for ids, _ in self.pieces(text) for i in ids.split(",")]
+        return self.packed(text).tolist()
 
-    def digest(self, text: str | None) -> tuple[int, str, str]:
-        """Number of ids, hash of the ids, hash of the decoded text."""
+    def packed(self, text: str) -> np.ndarray:
+        return np.frombuffer(b"".join([x[2] for x in self.pieces(text)]), "<i4")
+
+    def digest(self, text: str | None) -> tuple[int, str, str, list]:
+        """Number of ids, hash of the ids, hash of the decoded text; and the pieces that they come from."""
         found = list(self.pieces(text)) if text else []
-        ids = ",".join([x for x, _ in found])
-        decoded = b"".join([x for _, x in found]).decode("utf-8", errors="replace")
+        ids = ",".join([x[0] for x in found])
+        decoded = b"".join([x[1] for x in found]).decode("utf-8", errors="replace")
         return (
             ids.count(",") + 1 if ids else 0,
             hashlib.sha256(ids.encode()).hexdigest(),
             hashlib.sha256(decoded.encode()).hexdigest(),
+            found,
         )
 
 
-def encode_table(docs: DataFrame, bpe: PrefixBpe, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs -> id and the ids of its text as an array."""
+def digest_table(docs: DataFrame, bpe: PrefixBpe, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+    """docs -> id, number of ids, hash of the ids, hash of the text that they decode to; with_ids: the ids too."""
     sent = docs.sparkSession.sparkContext.broadcast(bpe)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = sent.value
+        names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
         for b in batches:
-            ids = pa.array([bpe.encode(t.as_py() or "") for t in b.column(1)], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([b.column(0), ids], [id_col, "ids"])
+            counts, ids, decoded, packed = [], [], [], []
+            for t in b.column(1):
+                n, x, y, found = bpe.digest(t.as_py())
+                counts.append(n)
+                ids.append(x)
+                decoded.append(y)
+                if with_ids:
+                    packed.append(b"".join([p[2] for p in found]))
+            arrays = [b.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
+            if with_ids:
+                at = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                arrays.append(pa.ListArray.from_arrays(pa.array(at), pa.array(np.frombuffer(b"".join(packed), "<i4"))))
+            yield pa.RecordBatch.from_arrays(arrays, names)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(emit, f"`{id_col}` {kind}, ids array<int>")
+    return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(
+        emit, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    )
 
 
-def digest_table(docs: DataFrame, bpe: PrefixBpe, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs -> id, number of ids, hash of the ids, hash of the text that they decode to."""
-    sent = docs.sparkSession.sparkContext.broadcast(bpe)
+def decode_table(encoded: DataFrame, bpe: PrefixBpe, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+    """id and ids -> id and the text that they decode to; null ids decode to null."""
+    sent = encoded.sparkSession.sparkContext.broadcast(bpe)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = sent.value
         for b in batches:
-            rows = [bpe.digest(t.as_py()) for t in b.column(1)]
-            n, ids, decoded = zip(*rows, strict=True) if rows else ([], [], [])
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
-                [id_col, "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            texts = [None if ids is None else sent.value.decode(ids) for ids in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], [id_col, "text"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(
-        emit, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    )
+    kind = encoded.schema[id_col].dataType.simpleString()
+    return encoded.select(id_col, ids_col).mapInArrow(emit, f"`{id_col}` {kind}, text string")
 
 
 def load_default() -> PrefixBpe:
