@@ -6,13 +6,15 @@ words: P(token | state) = P(class | state) * (c + 1) / (N_k + V_k + 1). So the s
 (STATES x CLASSES), while the counts of words are exact, cover all training texts and grow with the corpus.
 
 One pass tokenises all texts into blocks of about BLOCK_TOKENS tokens and stages them: for each text its classes and
-its words as numbers of the block's dictionary, and for each block its dictionary with training counts. Word counts are
-summed from the dictionaries with map-side sums; totals of at most CLASSES rows come to the driver. Each Baum-Welch
-round reads the staged classes of all training texts, every task adds up its expected counts, and their sums (as whole
-numbers, so the order of adding doesn't matter) give the next parameters. The starting point comes from a few rounds
-over a bounded sample (SAMPLE_TOKENS, by a hash of the id); the last ROUNDS rounds cover all training texts. Scoring
-brings each block's counts to its texts: dictionaries are joined with the counts by word, then met with the texts by
-block, so a hot word costs a row for each block and no text is exploded.
+its words as numbers of the block's dictionary, and for each block its dictionary with training counts, dealt to
+buckets by a hash of the word and packed. A word is there once for each block, so no word is hot and no text is
+exploded. Each bucket adds up its words over all blocks and answers every block with the corpus counts of its words;
+the answers then meet the texts by block. Totals of at most CLASSES rows come to the driver.
+
+Each Baum-Welch round reads the staged classes of all training texts, every task adds up its expected counts, and their
+sums (as whole numbers, so the order of adding doesn't matter) give the next parameters. The starting point comes from
+a few rounds over a bounded sample (SAMPLE_TOKENS, by a hash of the id); the last ROUNDS rounds cover all training
+texts.
 
 The forward recursion is exact for texts of any length: a task's texts form one stream that restarts after each end
 token; it is cut into equal pieces whose transfer matrices are computed side by side, chained, and then filled in.
@@ -30,6 +32,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,7 +48,7 @@ BLOCK_TOKENS = 500_000
 STREAM_TOKENS = 1_000_000
 FOLDS, HELD_OUT = 7, 2
 UNIT = 1 << 20
-END = ""
+END = b""
 
 
 class Model(NamedTuple):
@@ -70,7 +73,10 @@ def uniform(states: int = STATES, classes: int = CLASSES) -> Model:
 
 
 class _Stream:
-    """Texts laid end to end as S pieces of equal length; class 0 ends a text, and padding repeats it."""
+    """Texts laid end to end as pieces of equal length; class 0 ends a text, and padding repeats it.
+
+    Everything is held time-major, (place in the piece, piece, ...), so each step works on contiguous memory.
+    """
 
     def __init__(self, model: Model, obs: np.ndarray):
         self.model, self.n = model, len(obs)
@@ -78,19 +84,25 @@ class _Stream:
         self.rows = -(-self.n // self.len)
         padded = np.zeros(self.rows * self.len, np.int64)
         padded[: self.n] = obs
-        self.obs = padded.reshape(self.rows, self.len)
+        self.obs = np.ascontiguousarray(padded.reshape(self.rows, self.len).T)
+        flat = np.concatenate([[True], padded[:-1] == 0])  # a text starts here
+        self.starts = [np.flatnonzero(x) for x in flat.reshape(self.rows, self.len).T]
+        self.first = flat[: self.n]
         self.emit = np.ascontiguousarray(model.emit.T)  # (classes, states)
-        flat = np.concatenate([[True], padded[:-1] == 0])
-        self.first = flat.reshape(self.rows, self.len)  # a text starts here
+
+    def _in_order(self, x: np.ndarray) -> np.ndarray:
+        """(len, rows, ...) -> by token."""
+        return np.ascontiguousarray(x.swapaxes(0, 1)).reshape(-1, *x.shape[2:])[: self.n]
 
     def _advance(self, x: np.ndarray, t: int) -> np.ndarray:
-        """x (..., states) at t - 1 -> t, before scaling; texts that start at t forget x but for its mass."""
-        y = x @ self.model.step
-        new = self.first[:, t]
-        if new.any():
+        """x (rows, ..., states) at t - 1 -> t, before scaling; texts that start at t forget x but for its mass."""
+        y = (x.reshape(-1, x.shape[-1]) @ self.model.step).reshape(x.shape)
+        new = self.starts[t]
+        if len(new):
             y[new] = x[new].sum(-1, keepdims=True) * self.model.start
-        e = self.emit[self.obs[:, t]]
-        return y * (e if y.ndim == 2 else e[:, None, :])
+        e = self.emit[self.obs[t]]
+        y *= e if y.ndim == 2 else e[:, None, :]
+        return y
 
     def transfers(self) -> np.ndarray:
         """(rows, states, states): what each piece does to the state before it, each up to a factor."""
@@ -98,11 +110,12 @@ class _Stream:
         m = np.broadcast_to(np.eye(k), (self.rows, k, k)).copy()
         for t in range(self.len):
             m = self._advance(m, t)
-            m /= m.sum((1, 2), keepdims=True)
+            if t % 8 == 7 or t == self.len - 1:
+                m /= m.sum((1, 2), keepdims=True)
         return m
 
     def forward(self, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Scaled state weights (rows, len, states) and scales (rows, len)."""
+        """Scaled state weights (len, rows, states) and scales (len, rows)."""
         k = len(self.model.start)
         entry = np.empty((self.rows, k))
         x = np.full(k, 1.0 / k)
@@ -110,19 +123,18 @@ class _Stream:
             entry[r] = x
             x = x @ m[r]
             x = x / x.sum()
-        alpha, scale = np.empty((self.rows, self.len, k)), np.empty((self.rows, self.len))
+        alpha, scale = np.empty((self.len, self.rows, k)), np.empty((self.len, self.rows))
         x = entry
         for t in range(self.len):
             x = self._advance(x, t)
             s = x.sum(1)
-            x = x / s[:, None]
-            alpha[:, t], scale[:, t] = x, s
+            x /= s[:, None]
+            alpha[t], scale[t] = x, s
         return alpha, scale
 
     def log10(self) -> np.ndarray:
         """log10 P(class | what came before in its text) of each token."""
-        _, scale = self.forward(self.transfers())
-        return np.log10(scale.reshape(-1)[: self.n])
+        return np.log10(self._in_order(self.forward(self.transfers())[1]))
 
     def expected(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Expected counts of starts, steps and emissions."""
@@ -135,34 +147,26 @@ class _Stream:
             leave[r] = x
             x = m[r] @ x
             x = x / x.sum()
-        step = np.zeros((k, k))
-        gamma = np.empty_like(alpha)
-        beta = leave
+        step, beta = np.zeros((k, k)), leave
+        before = np.vstack([np.full((1, k), 1.0 / k), alpha[-1, :-1]])  # the state weights ahead of each piece
+        back_step = np.ascontiguousarray(model.step.T)
         for t in range(self.len - 1, -1, -1):
-            g = alpha[:, t] * beta
-            gamma[:, t] = g / g.sum(1, keepdims=True)
-            eb = self.emit[self.obs[:, t]] * beta
-            new = self.first[:, t]
-            back = eb @ model.step.T
-            if t:
-                old, a = ~new, alpha[:, t - 1]
-                w = a[old] / (a[old] * back[old]).sum(1, keepdims=True)
-                step += w.T @ eb[old]
-            else:
-                # the step into a piece: its entry is the last of the piece before
-                old = ~new
-                old[0] = False
-                at = np.flatnonzero(old)
-                if len(at):
-                    a = alpha[at - 1, -1]
-                    w = a / (a * back[at]).sum(1, keepdims=True)
-                    step += w.T @ eb[at]
+            eb = self.emit[self.obs[t]]
+            eb *= beta
+            g = alpha[t]
+            g *= beta
+            g /= g.sum(1, keepdims=True)  # alpha[t] is now the posterior of its states
+            back, new = eb @ back_step, self.starts[t]
+            a = alpha[t - 1] if t else before
+            r = 1.0 / (a * back).sum(1)
+            r[new] = 0.0
+            step += (a * r[:, None]).T @ eb
             back[new] = (eb[new] @ model.start)[:, None]
-            beta = back / back.sum(1, keepdims=True)
-        flat, obs = gamma.reshape(-1, k)[: self.n], self.obs.reshape(-1)[: self.n]
-        emit = np.stack([np.bincount(obs, weights=flat[:, s], minlength=model.emit.shape[1]) for s in range(k)])
-        start = flat[self.first.reshape(-1)[: self.n]].sum(0)
-        return start, step * model.step, emit
+            back /= back.sum(1, keepdims=True)
+            beta = back
+        gamma, obs = self._in_order(alpha), self._in_order(self.obs)
+        emit = np.stack([np.bincount(obs, weights=gamma[:, s], minlength=model.emit.shape[1]) for s in range(k)])
+        return gamma[self.first].sum(0), step * model.step, emit
 
 
 def _streams(texts: Iterator[np.ndarray]) -> Iterator[np.ndarray]:
@@ -177,65 +181,96 @@ def _streams(texts: Iterator[np.ndarray]) -> Iterator[np.ndarray]:
         yield np.concatenate(held)
 
 
+def _shut(x: np.ndarray) -> bytes:
+    """Whole numbers as compressed byte planes, which are mostly alike from the second on."""
+    planes = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _open(raw: bytes, kind: str) -> np.ndarray:
+    kind = np.dtype(kind)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    return np.ascontiguousarray(planes.reshape(kind.itemsize, -1).T).view(kind).reshape(-1)
+
+
 def _classes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
     for b in batches:
         for x in b.column(0):
-            yield np.frombuffer(x.as_py(), "<u2").astype(np.int64)
+            yield _open(x.as_py(), "<u2").astype(np.int64)
+
+
+class Numbers(dict):
+    """word -> its number, in order of appearance."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = x = len(self)
+        return x
+
+
+def _part_dictionary(words: list[bytes], buckets: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Words dealt to buckets by their hash: the order by bucket and word, and (bucket, from, to) of each."""
+    bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, len(words))
+    order = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
+    order = order[np.argsort(bucket[order], kind="stable")]
+    cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
+    return order, [(int(bucket[order[i]]), int(i), int(j)) for i, j in zip(cuts, cuts[1:], strict=False)]
 
 
 def stage_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(texts, dictionaries), staged once. texts: block, doc_id, held_out, cls, loc; dictionaries: block, word, idx, cls, n."""
+    """(texts, dictionaries), staged once. texts: block, doc_id, held_out, n, cls, loc; dictionaries: block, bucket, words, counts.
+
+    A block's dictionary is dealt to buckets by a hash of the word and packed, a row for each bucket; the numbers in
+    `loc` follow the order of buckets and of words in them.
+    """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType
+    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     picked = docs.select(
         F.col(id_col).alias("doc_id"), (doc_hash_mod(F.col(id_col), FOLDS) == HELD_OUT).alias("held_out"), F.col(text_col).cast("string").alias("text")
     )
-    schema = f"kind int, block long, doc_id {kind.simpleString()}, held_out boolean, c binary, loc binary, word string, idx int, cls int, n long"
-
-    class Numbers(dict):
-        def __missing__(self, word):
-            self[word] = x = len(self)
-            return x
+    schema = f"kind int, block long, doc_id {kind.simpleString()}, held_out boolean, n long, c binary, loc binary, bucket int, words binary, counts binary"
+    names = ["kind", "block", "doc_id", "held_out", "n", "c", "loc", "bucket", "words", "counts"]
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, seq = TaskContext.get().partitionId() << 24, 0
-        numbers, cls, ids, held, locs, tokens = Numbers(), [], [], [], [], 0
-        id_type = None
+        base, seq, id_type = TaskContext.get().partitionId() << 24, 0, None
+        numbers, ids, held, locs, tokens = Numbers(), [], [], [], 0
 
         def close() -> Iterator[pa.RecordBatch]:
             words = list(numbers)
-            cls = np.array([word_class(w) if w else 0 for w in words], "<u2")
-            n = np.zeros(len(words), np.int64)
-            for loc, out in zip(locs, held, strict=True):
-                if not out:
-                    n += np.bincount(loc, minlength=len(words)) if len(loc) * 8 > len(words) else 0
-            for loc, out in zip(locs, held, strict=True):
-                if not out and not len(loc) * 8 > len(words):
-                    np.add.at(n, loc, 1)
-            k, m, block = len(ids), len(words), base + seq
+            order, parts = _part_dictionary(words, buckets)
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            cls = np.array([word_class(words[i]) if words[i] else 0 for i in order], "<u2")
+            moved = [place[x] for x in locs]
+            training = [x for x, out in zip(moved, held, strict=True) if not out]
+            counts = np.bincount(np.concatenate(training), minlength=len(words)) if training else np.zeros(len(words), np.int64)
+            packer = zstandard.ZstdCompressor(level=1)
+            rows = [
+                (j, packer.compress(b"\n".join([words[i] for i in order[a:b]])), _shut(counts[a:b].astype("<i4"))) for j, a, b in parts
+            ]
+            k, m = len(ids), len(rows)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.zeros(k, np.int32)), pa.array(np.full(k, block)), pa.array(ids, id_type), pa.array(held, pa.bool_()),
-                    pa.array([cls[x].tobytes() for x in locs], pa.binary()), pa.array([x.astype("<i4").tobytes() for x in locs], pa.binary()),
-                    pa.nulls(k, pa.string()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64()),
+                    pa.array(np.zeros(k, np.int32)), pa.array(np.full(k, base + seq)), pa.array(ids, id_type), pa.array(held, pa.bool_()),
+                    pa.array([len(x) for x in moved], pa.int64()), pa.array([_shut(cls[x]) for x in moved], pa.binary()),
+                    pa.array([_shut(x.astype("<i4")) for x in moved], pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()),
                 ],
                 names,
             )
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.ones(m, np.int32)), pa.array(np.full(m, block)), pa.nulls(m, id_type), pa.nulls(m, pa.bool_()), pa.nulls(m, pa.binary()),
-                    pa.nulls(m, pa.binary()), pa.array([w.decode() for w in words], pa.string()), pa.array(np.arange(m, dtype=np.int32)),
-                    pa.array(cls.astype(np.int32)), pa.array(n),
+                    pa.array(np.ones(m, np.int32)), pa.array(np.full(m, base + seq)), pa.nulls(m, id_type), pa.nulls(m, pa.bool_()), pa.nulls(m, pa.int64()),
+                    pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary()), pa.array([r[0] for r in rows], pa.int32()),
+                    pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary()),
                 ],
                 names,
             )
 
-        names = ["kind", "block", "doc_id", "held_out", "c", "loc", "word", "idx", "cls", "n"]
         for b in batches:
             id_type = b.schema.field(0).type
             for i, out, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
                 words = (text.as_py() or "").encode().lower().split()
-                words.append(b"")
+                words.append(END)
                 locs.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
                 ids.append(i)
                 held.append(out)
@@ -248,10 +283,46 @@ def stage_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     path = scratch_path(spark, "texts")
     staged = picked.mapInArrow(tokenise, schema)
-    staged.write.option("compression", "zstd").partitionBy("kind").parquet(path)
+    staged.write.partitionBy("kind").parquet(path)
     stored = [spark.read.schema(staged.schema).parquet(path).where(F.col("kind") == k) for k in (0, 1)]  # two reads, so that they can meet
-    texts = stored[0].select("block", "doc_id", "held_out", F.col("c").alias("cls"), "loc")
-    return texts, stored[1].select("block", "word", "idx", "cls", "n")
+    texts = stored[0].select("block", "doc_id", "held_out", "n", F.col("c").alias("cls"), "loc")
+    return texts, stored[1].select("block", "bucket", "words", "counts")
+
+
+def count_words(dictionaries: DataFrame) -> DataFrame:
+    """Corpus counts, brought back to the blocks: block, bucket, counts, cls; and rows of block -1 with class totals.
+
+    A bucket holds every word with its hash from all blocks, each block's once and packed, so the rows of a task follow
+    the number of distinct words and no word is hot. Class totals are at most CLASSES short rows of each bucket.
+    """
+
+    def count(table: pa.Table) -> pa.Table:
+        numbers, found = Numbers(), []
+        unpack = zstandard.ZstdDecompressor()
+        for words, counts in zip(table.column("words"), table.column("counts"), strict=True):
+            split = unpack.decompress(words.as_py()).split(b"\n")
+            found.append((np.fromiter(map(numbers.__getitem__, split), np.int64, len(split)), _open(counts.as_py(), "<i4")))
+        total = np.zeros(len(numbers), np.int64)
+        for at, n in found:
+            total[at] += n
+        cls = np.array([word_class(w) if w else 0 for w in numbers], "<u2")
+        seen = total > 0
+        tokens, known = np.bincount(cls, weights=total).astype(np.int64), np.bincount(cls[seen], minlength=int(cls.max()) + 1)
+        has = np.flatnonzero(tokens)
+        k, m = len(found), len(has)
+        return pa.table(
+            {
+                "block": pa.concat_arrays([table.column("block").combine_chunks(), pa.array(np.full(m, -1))]),
+                "bucket": pa.concat_arrays([table.column("bucket").combine_chunks(), pa.array(has.astype(np.int32))]),
+                "counts": pa.array([_shut(total[at].astype("<i8")) for at, _ in found] + [None] * m, pa.binary()),
+                "cls": pa.array([_shut(cls[at]) for at, _ in found] + [None] * m, pa.binary()),
+                "tokens": pa.concat_arrays([pa.nulls(k, pa.int64()), pa.array(tokens[has])]),
+                "known": pa.concat_arrays([pa.nulls(k, pa.int64()), pa.array(known[has].astype(np.int64))]),
+            }
+        )
+
+    schema = "block long, bucket int, counts binary, cls binary, tokens long, known long"
+    return materialize(dictionaries.groupBy("bucket").applyInArrow(count, schema), "counts")
 
 
 def _pack(start: np.ndarray, step: np.ndarray, emit: np.ndarray) -> np.ndarray:
@@ -282,11 +353,11 @@ def first_model(classes_of_texts: list[np.ndarray], states: int, classes: int, r
 def train_model(texts: DataFrame, states: int = STATES, classes: int = CLASSES, rounds: int = ROUNDS, sample_tokens: int = SAMPLE_TOKENS) -> Model:
     spark = texts.sparkSession
     training = texts.where("not held_out")
-    total = training.agg(F.sum(F.octet_length("cls")).alias("n")).first()["n"] or 0
+    total = training.agg(F.sum("n").alias("n")).first()["n"] or 0
     if not total:
         return uniform(states, classes)
-    rate = min(1.0, sample_tokens / (total / 2))
-    order = F.xxhash64("doc_id", F.octet_length("cls"))
+    rate = min(1.0, sample_tokens / total)
+    order = F.xxhash64("doc_id", "n")
     sample = training.where(F.pmod(order, F.lit(1 << 30)) <= int(rate * (1 << 30))).select("cls", order.alias("h"))
 
     def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,12 +393,12 @@ def train_model(texts: DataFrame, states: int = STATES, classes: int = CLASSES,
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, classes: int = CLASSES) -> DataFrame:
     spark = docs.sparkSession
-    texts, words = stage_texts(docs, id_col, text_col)
-    counts = materialize(words.where("n > 0").groupBy("word").agg(F.first("cls").alias("cls"), F.sum("n").alias("c")), "counts")
-    by_class = counts.groupBy("cls").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()
+    texts, dictionaries = stage_texts(docs, id_col, text_col)
+    counts = count_words(dictionaries)
+    by_class = counts.where("block = -1").groupBy("bucket").agg(F.sum("tokens").alias("n"), F.sum("known").alias("v")).collect()
     tokens, known = np.zeros(classes), np.zeros(classes)
     for r in by_class:
-        tokens[r["cls"]], known[r["cls"]] = r["n"], r["v"]
+        tokens[r["bucket"]], known[r["bucket"]] = r["n"], r["v"]
     n, v = int(tokens.sum()), int(known.sum())
     inside = -np.log10(tokens + known + 1)  # of a word's share in its class, but for log10(c + 1)
     model = train_model(texts, states, classes)
@@ -336,11 +407,12 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         model, inside = sent.value
         ids, held = left.column("doc_id"), left.column("held_out")
-        count = np.zeros(right.num_rows, np.int64)
-        count[right.column("idx").to_numpy()] = right.column("c").to_numpy()
+        rows = sorted(zip(right.column("bucket").to_pylist(), right.column("counts"), right.column("cls"), strict=True), key=lambda r: r[0])
+        count = np.concatenate([_open(c.as_py(), "<i8") for _, c, _ in rows])
+        cls = np.concatenate([_open(c.as_py(), "<u2") for _, _, c in rows]).astype(np.int64)
         logs = np.log10(count + 1.0)
-        locs = [np.frombuffer(x, "<i4") for x in left.column("loc").to_pylist()]
-        obs = [np.frombuffer(x, "<u2").astype(np.int64) for x in left.column("cls").to_pylist()]
+        locs = [_open(x.as_py(), "<i4") for x in left.column("loc")]
+        obs = [cls[x] for x in locs]
         sizes = np.array([len(x) for x in locs], np.int64)
         at = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         flat, seen = np.concatenate(obs), np.concatenate(locs)
@@ -355,10 +427,11 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             }
         )
 
-    found = words.join(counts.select("word", "c"), "word", "left").select("block", "idx", F.coalesce("c", F.lit(0)).cast("long").alias("c"))
+    found = counts.where("block >= 0").select("block", "bucket", "counts", "cls")
+    met = texts.select("block", "doc_id", "held_out", "loc").groupBy("block").cogroup(found.groupBy("block"))
     kind = docs.schema[id_col].dataType.simpleString()
     out = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return texts.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(score, out)
+    return met.applyInArrow(score, out)
 
 
 def op3_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
