@@ -24,7 +24,8 @@ def speaker_duration(rows: DataFrame, thresholds) -> DataFrame:
 def confidence_histogram(rows: DataFrame, bins: int = 10) -> DataFrame:
     """Segments and seconds by score bin with cumulative shares. Null scores have no bin but count in every share."""
     spark = rows.sparkSession
-    b = rows.groupBy(F.least((F.col("avg_score") * bins).cast("int"), F.lit(bins - 1)).alias("bin")).agg(F.count("*").alias("segs"), F.sum("duration").alias("dur"))
+    cell = F.when(F.col("avg_score").isNotNull(), F.least((F.col("avg_score") * bins).cast("int"), F.lit(bins - 1)))
+    b = rows.groupBy(cell.alias("bin")).agg(F.count("*").alias("segs"), F.sum("duration").alias("dur"))
     total = b.agg(F.sum("segs").alias("all_segs"), F.sum("dur").alias("all_dur"))
     every = spark.range(bins).select(F.col("id").cast("int").alias("bin")).join(b, "bin", "left").crossJoin(F.broadcast(total))  # ten rows and one row
     upto = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)

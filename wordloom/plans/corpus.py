@@ -114,7 +114,7 @@ def a5(spark, sf):
     return R.speaker_duration(D.eval_rows(spark, sf), DEFAULTS.thresholds)
 
 
-_HIST = _ROWS + ", b AS (SELECT least(CAST(trunc(avg_score * 10) AS BIGINT), 9) AS bin, count(*) AS segs, sum(duration) AS dur FROM eval_rows GROUP BY 1), t AS (SELECT sum(segs) AS s, sum(dur) AS d FROM b), e AS (SELECT r.bin, coalesce(segs, 0) AS segs, coalesce(dur, 0) AS dur FROM (SELECT unnest(range(10)) AS bin) r LEFT JOIN b USING (bin)), h AS (SELECT bin, segs, round(dur, 4) AS dur, round(segs * 100.0::DOUBLE / s, 6) AS seg_pct, round(dur * 100.0::DOUBLE / d, 6) AS dur_pct, round(sum(segs) OVER (ORDER BY bin) * 100.0::DOUBLE / s, 6) AS cum_seg_pct, round(sum(dur) OVER (ORDER BY bin) * 100.0::DOUBLE / d, 6) AS cum_dur_pct FROM e, t) "
+_HIST = _ROWS + ", b AS (SELECT CASE WHEN avg_score IS NOT NULL THEN least(CAST(trunc(avg_score * 10) AS BIGINT), 9) END AS bin, count(*) AS segs, sum(duration) AS dur FROM eval_rows GROUP BY 1), t AS (SELECT sum(segs) AS s, sum(dur) AS d FROM b), e AS (SELECT r.bin, coalesce(segs, 0) AS segs, coalesce(dur, 0) AS dur FROM (SELECT unnest(range(10)) AS bin) r LEFT JOIN b USING (bin)), h AS (SELECT bin, segs, round(dur, 4) AS dur, round(segs * 100.0::DOUBLE / s, 6) AS seg_pct, round(dur * 100.0::DOUBLE / d, 6) AS dur_pct, round(sum(segs) OVER (ORDER BY bin) * 100.0::DOUBLE / s, 6) AS cum_seg_pct, round(sum(dur) OVER (ORDER BY bin) * 100.0::DOUBLE / d, 6) AS cum_dur_pct FROM e, t) "
 
 
 @query("A6_confidence_histogram", _HIST + "SELECT * FROM h")
