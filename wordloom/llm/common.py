@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import uuid
 import zlib
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +24,41 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def give_back() -> None:
+    """Returns a finished task's memory to the system; reused workers would keep it beside the executor's heap."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+class Remembered(dict):
+    """key -> make(key), remembered for the keys in use.
+
+    Hits are plain dictionary lookups. When `limit` keys are in, they become the older generation and the one before is
+    dropped; a key that is asked for again moves back. So memory stays within two generations, and frequent keys stay.
+    """
+
+    def __init__(self, make, limit: int):
+        super().__init__()
+        self.make, self.limit, self.old = make, limit, {}
+
+    def __missing__(self, key):
+        found = self.old.get(key)
+        if found is None:
+            found = self.make(key)
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+    def forget(self) -> None:
+        self.clear()
+        self.old = {}
+
+
 def words_of(text: str | None) -> list[bytes]:
     """UTF-8 words; bytes.split() splits on exactly the six ASCII white-space bytes, unlike str.split()."""
     return text.encode().split() if text else []

@@ -28,10 +28,11 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import read_table
+from wordloom.llm.common import Remembered, give_back, read_table
 
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 LONGEST_REMEMBERED = 64
+SLICE = 1000
 NEVER = 1 << 60
 #: Fixed value: the published split pattern of byte-level BPE, with white space spelled as a Unicode property.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
@@ -90,8 +91,14 @@ class PrefixBpe:
         self.split = regex.compile(SPLIT)
         ordered = sorted(self.added, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, ordered)) + ")") if ordered else None
-        self.pairs: dict[int, bool] = {}
-        self.known: dict[str, tuple[str, bytes, bytes]] = {}
+        self.pairs = Remembered(lambda key: self._apart(key >> 32, key & 0xFFFFFFFF, NEVER), REMEMBERED)
+        self.known = Remembered(self._piece, REMEMBERED)
+
+    def forget(self) -> None:
+        """Drops what a task has remembered; the broadcast object outlives the task in its worker."""
+        self.pairs.forget()
+        self.known.forget()
+        give_back()
 
     def _apart(self, left: int, right: int, until: int) -> bool:
         """Whether no merge across the border comes before `until`, the time at which the two tokens are used up."""
@@ -120,13 +127,7 @@ class PrefixBpe:
         return found
 
     def compatible(self, left: int, right: int) -> bool:
-        key = left << 32 | right
-        ok = self.pairs.get(key)
-        if ok is None:
-            if len(self.pairs) >= 2_000_000:
-                self.pairs.clear()
-            self.pairs[key] = ok = self._apart(left, right, NEVER)
-        return ok
+        return self.pairs[left << 32 | right]
 
     def encode_bytes(self, raw: bytes) -> list[int]:
         """Ids of one pre-token."""
@@ -150,44 +151,34 @@ class PrefixBpe:
     def decode(self, ids) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", errors="replace")
 
-    def _piece(self, piece: str) -> tuple[str, bytes, bytes]:
-        """The decimal ids of a pre-token, the bytes that its ids decode to, and the ids as four bytes each."""
-        found = self.known.get(piece)
-        if found is None:
-            ids = self.encode_bytes(piece.encode())
-            found = ",".join(map(str, ids)), b"".join(map(self.bytes_of.__getitem__, ids)), np.array(ids, "<i4").tobytes()
-            if len(piece) <= LONGEST_REMEMBERED:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[piece] = found
-        return found
+    def _piece(self, piece: str) -> tuple[str, bytes]:
+        """The decimal ids of a pre-token, and the bytes that its ids decode to."""
+        ids = self.encode_bytes(piece.encode())
+        return ",".join(map(str, ids)), b"".join(map(self.bytes_of.__getitem__, ids))
 
-    def pieces(self, text: str) -> Iterator[tuple[str, bytes, bytes]]:
-        known, piece = self.known, self._piece
+    def pieces(self, text: str) -> Iterator[tuple[str, bytes]]:
+        known = self.known
         parts = self.special.split(text) if self.special else [text]
         for k, part in enumerate(parts):
             if k % 2:
-                yield str(self.added[part]), part.encode(), np.array([self.added[part]], "<i4").tobytes()
+                yield str(self.added[part]), part.encode()
             elif part:
                 for p in self.split.findall(part):
-                    yield known.get(p) or piece(p)
+                    yield known[p] if len(p) <= LONGEST_REMEMBERED else self._piece(p)
 
     def encode(self, text: str) -> list[int]:
-        return self.packed(text).tolist()
+        return [int(i) for ids, _ in self.pieces(text) for i in ids.split(",")]
 
-    def packed(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join([x[2] for x in self.pieces(text)]), "<i4")
-
-    def digest(self, text: str | None) -> tuple[int, str, str, list]:
-        """Number of ids, hash of the ids, hash of the decoded text; and the pieces that they come from."""
+    def digest(self, text: str | None) -> tuple[int, str, str, str]:
+        """Number of ids, hash of the ids, hash of the decoded text; and the ids as decimals."""
         found = list(self.pieces(text)) if text else []
-        ids = ",".join([x[0] for x in found])
-        decoded = b"".join([x[1] for x in found]).decode("utf-8", errors="replace")
+        ids = ",".join([x for x, _ in found])
+        decoded = b"".join([x for _, x in found]).decode("utf-8", errors="replace")
         return (
             ids.count(",") + 1 if ids else 0,
             hashlib.sha256(ids.encode()).hexdigest(),
             hashlib.sha256(decoded.encode()).hexdigest(),
-            found,
+            ids,
         )
 
 
@@ -198,20 +189,21 @@ def digest_table(docs: DataFrame, bpe: PrefixBpe, id_col: str = "doc_id", text_c
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = sent.value
         names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
-        for b in batches:
-            counts, ids, decoded, packed = [], [], [], []
+        for b in (batch.slice(at, SLICE) for batch in batches for at in range(0, batch.num_rows, SLICE)):
+            counts, ids, decoded, numbers = [], [], [], []
             for t in b.column(1):
-                n, x, y, found = bpe.digest(t.as_py())
+                n, x, y, decimals = bpe.digest(t.as_py())
                 counts.append(n)
                 ids.append(x)
                 decoded.append(y)
                 if with_ids:
-                    packed.append(b"".join([p[2] for p in found]))
+                    numbers.append(np.fromstring(decimals, np.int32, sep=",") if n else np.empty(0, np.int32))
             arrays = [b.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
             if with_ids:
                 at = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                arrays.append(pa.ListArray.from_arrays(pa.array(at), pa.array(np.frombuffer(b"".join(packed), "<i4"))))
+                arrays.append(pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(numbers))))
             yield pa.RecordBatch.from_arrays(arrays, names)
+        bpe.forget()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(

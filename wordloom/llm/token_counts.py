@@ -21,11 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import read_table
+from wordloom.llm.common import Remembered, give_back, read_table
 
 SPACE = "▁"
 LIMIT = 4096
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 
 class PieceCounter:
@@ -39,7 +39,17 @@ class PieceCounter:
         alone = all("\n" not in p for p in scores if len(p) > 1)
         self.cuts = re.compile(rf"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+" if alone else rf"{SPACE}*[^{SPACE}]+|{SPACE}+")
         self.whole = frozenset(p for p in scores if self.merge(p) == 1)
-        self.known: dict[str, int] = {}
+        self._ready()
+
+    def _ready(self) -> None:
+        self.known = Remembered(self.merge, REMEMBERED)
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "known"}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self._ready()
 
     def merge(self, text: str) -> int:
         """Tokens of one cut: the best-scored adjacent pair merges first, of equals the leftmost."""
@@ -78,15 +88,7 @@ class PieceCounter:
             return 0
         total, known, whole = 0, self.known, self.whole
         for cut in self.cuts.findall(SPACE + text.replace(" ", SPACE)):
-            if cut in whole:
-                total += 1
-                continue
-            n = known.get(cut)
-            if n is None:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                known[cut] = n = self.merge(cut)
-            total += n
+            total += 1 if cut in whole else known[cut]
         return total
 
 
@@ -122,6 +124,8 @@ def count_tokens(docs: DataFrame, counter: PieceCounter, id_col: str = "doc_id",
                 [b.column(0), pa.array(sizes, pa.int64()), pa.array(tokens, pa.int64()), pa.array(over, pa.bool_())],
                 [id_col, "n_bytes", "n_tokens", "over_limit"],
             )
+        counter.known.forget()
+        give_back()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(

@@ -21,13 +21,14 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import doc_hash_mod, read_table
+from wordloom.llm.common import Remembered, doc_hash_mod, give_back, read_table
 
 BITS = 20
 MAX_TRAIN = 8000
@@ -41,30 +42,22 @@ _EDGES = b".,;:!?\"'()[]{}|<>*#$%&-_/\\"
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 
 
-class WordHashes(dict):
-    """word -> 64-bit hash, remembered for the words of this task; emptied before it outgrows its bound."""
+REMEMBERED = 100_000
 
-    LIMIT = 1_000_000
 
-    def __init__(self, stem: int | None = None):
-        super().__init__()
-        self.stem = stem
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        bare = word.strip(_EDGES) or word
-        if self.stem:
-            bare = b"^" + bare.decode()[: self.stem].encode()
-        self[word] = x = (zlib.crc32(bare) << 32) | zlib.adler32(bare[::-1] + b"~")
-        return x
+def word_hash(word: bytes, stem: int | None = None) -> int:
+    bare = word.strip(_EDGES) or word
+    if stem:
+        bare = b"^" + bare.decode()[:stem].encode()
+    return (zlib.crc32(bare) << 32) | zlib.adler32(bare[::-1] + b"~")
 
 
 class Hasher:
     """The word and word-beginning hashes of a task."""
 
     def __init__(self):
-        self.words, self.stems = WordHashes(), WordHashes(STEM)
+        self.words = Remembered(word_hash, REMEMBERED)
+        self.stems = Remembered(lambda w: word_hash(w, STEM), REMEMBERED)
 
 
 def features(text: str | None, hashes: Hasher, bits: int = BITS) -> np.ndarray:
@@ -86,7 +79,8 @@ def train(rows: list[tuple[np.ndarray, int]], bits: int = BITS, epochs: int = EP
     seen = np.zeros(1 << bits, np.int32)
     for x, _ in rows:
         seen[x] += 1
-    rows = [(x[seen[x] >= MIN_ROWS], y) for x, y in rows]
+    for k, (x, y) in enumerate(rows):
+        rows[k] = x[seen[x] >= MIN_ROWS], y
     toxic = sum(y for _, y in rows)
     prior = float(np.log((toxic + 0.5) / (len(rows) - toxic + 1.5)))
     for _ in range(epochs):
@@ -117,8 +111,10 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "
         hashes, rows = Hasher(), []
         for b in batches:
             for text, y in zip(b.column(2), b.column(3).to_pylist(), strict=True):
-                rows.append((np.unique(features(text.as_py(), hashes)), y))
+                rows.append((np.unique(features(text.as_py(), hashes)).astype(np.int32), y))
         at, w, prior = train(rows)
+        del rows, hashes
+        give_back()
         yield pa.RecordBatch.from_arrays(
             [pa.array([at.astype("<i4").tobytes()]), pa.array([w.astype("<f8").tobytes()]), pa.array([prior])], ["at", "w", "prior"]
         )
@@ -136,6 +132,10 @@ def score_text(text: str | None, table: np.ndarray, prior: float, hashes: Hasher
     return float(1.0 / (1.0 + np.exp(-np.clip(prior + table[x].sum(), -35, 35))))
 
 
+def score_any(text, table: np.ndarray, prior: float, hashes: Hasher) -> float:
+    return score_text(text if isinstance(text, str) else None, table, prior, hashes)
+
+
 def score_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     spark = docs.sparkSession
     score = scorer(spark, fit(spark, docs, labels, id_col, text_col))
@@ -154,7 +154,9 @@ def scorer(spark: SparkSession, model):
         table, hashes = np.zeros(1 << BITS), Hasher()
         table[at] = w
         for texts in batches:
-            yield texts.map(lambda t: score_text(t if isinstance(t, str) else None, table, prior, hashes)).astype("float64")
+            yield texts.map(partial(score_any, table=table, prior=prior, hashes=hashes)).astype("float64")
+        del table, hashes
+        give_back()
 
     score.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return F.pandas_udf(score, "double")
