@@ -134,15 +134,15 @@ RESYNC_SCHEMA = "chunk_index long, run long, old_start long, new_start long, old
 
 
 def _vote(said: list[str], index: dict, lo: int, hi: int, lengths) -> int | None:
+    """The start in [lo, hi] with most weight within two positions, from the longest n-grams that vote at all."""
+    import numpy as np
+
     for n in lengths:
-        weight: dict[int, float] = {}
-        for j in range(len(said) - n + 1):
-            places = index.get((n, tuple(said[j : j + n])), ())
-            for p in places:
-                if lo <= p - j <= hi:
-                    weight[p - j] = weight.get(p - j, 0.0) + 1.0 / len(places)
-        if weight:
-            return max(weight, key=lambda s: sum(weight.get(x, 0.0) for x in range(s - 2, s + 3)))
+        cast = [(place - j, 1.0 / len(places)) for j in range(len(said) - n + 1) for places in [index.get((n, tuple(said[j : j + n])), ())] for place in places if lo <= place - j <= hi]
+        if cast:
+            starts, weights = np.array([c[0] for c in cast]) - lo, np.array([c[1] for c in cast])
+            near = np.convolve(np.bincount(starts, weights), np.ones(5))[2:]  # the sum over start - 2 .. start + 2
+            return lo + int(starts[np.argmax(near[starts])])  # the first vote cast of the best
     return None
 
 
