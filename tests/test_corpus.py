@@ -259,3 +259,34 @@ def test_stream_sessions(spark, tmp_path):
     q = speaker_sessions(spark.readStream.schema(df.schema).parquet(f"{tmp_path}/in")).writeStream.outputMode("complete").format("memory").queryName("sessions").option("checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True).start()
     q.awaitTermination(60)
     assert {(r.start, r.words) for r in spark.table("sessions").collect()} == want and len(want) == 2
+
+
+def test_anchor_bonus_equals_brute_force(spark):
+    rng = random.Random(11)
+    rows = []
+    for i in range(12):
+        ref = [rng.choice("abcdef") for _ in range(30)]
+        at = rng.randrange(20)
+        rows.append((i, ref, [w if rng.random() > 0.15 else "z" for w in ref[at : at + 9]], at + rng.randint(-2, 2), 9))
+    df = spark.createDataFrame(rows, "i int, ref array<string>, hyp array<string>, expected int, n int").withColumn("expected", F.greatest("expected", F.lit(0)))
+    found = df.join(localize.anchors(df, ["i"], "ref", "hyp", "expected", "n", 4, 4), "i", "left")
+    got = {r.i: (r.start_idx, r.effective) for r in localize.scored_match(found, "ref", "hyp", "expected", "n", anchor="anchors", anchor_weight=2.0, back=4, forward=4).collect()}
+    for i, ref, hyp, expected, n in rows:
+        lo = max(0, max(expected, 0) - 4)
+        hi = max(min(len(ref) - n + 1, max(expected, 0) + 4), lo + 1)
+        region, width = ref[lo : min(hi + n + 6, len(ref))], min(n, len(ref) - lo)
+        grams = [tuple(region[a : a + k]) for k in range(3, 7) for a in range(len(region) - k + 1)]
+        usable = sorted({(-len(g), next(x for x in range(len(hyp)) if tuple(hyp[x : x + len(g)]) == g), g) for g in set(grams) if grams.count(g) == 1 and any(tuple(hyp[x : x + len(g)]) == g for x in range(len(hyp)))})
+        best = None
+        for p in range(lo, hi):
+            window, used, bonus = ref[p : p + width], set(), 0
+            for minus, h, g in usable:
+                k = -minus
+                at = next((x for x in range(len(window) - k + 1) if tuple(window[x : x + k]) == g), None)
+                if at is None or used & set(range(h, h + k)) or abs(h / max(len(hyp) - k, 1) - at / max(width - k, 1)) > 0.25:
+                    continue
+                bonus += k
+                used |= set(range(h, h + k))
+            e = plain_distance(" ".join(hyp), " ".join(window)) - min(2.0 * bonus, 60.0)
+            best = min(best or (e, p), (e, p))
+        assert got[i] == (best[1], best[0])

@@ -211,3 +211,68 @@ def merge_gap_words(words: Column, tail: Column, head: Column, shift: Column) ->
     """Head words, the chunk's own, tail words shifted to chunk time; what is new is marked as of the second pass."""
     mark = lambda by: lambda w: F.struct(w["word"].alias("word"), F.round(w["start"] + by, 3).alias("start"), F.round(w["end"] + by, 3).alias("end"), w["score"].alias("score"), F.lit(2).alias("pass"))
     return F.concat(F.transform(head, mark(F.lit(0.0))), words, F.transform(tail, mark(shift)))
+
+
+def anchors(rows: DataFrame, keys, ref: str, hyp: str, expected: str, n: str, back: int, forward: int, d=DEFAULTS) -> DataFrame:
+    """N-grams of the hypothesis that the search region holds exactly once: their length and both positions.
+
+    Longest first, then by position in the hypothesis. An n-gram counts from where the hypothesis has it first.
+    """
+    lo = F.greatest(F.lit(0), F.col(expected) - back)
+    hi = F.greatest(F.least(F.size(ref) - F.col(n) + 1, F.col(expected) + forward), lo + 1)
+    region = F.slice(ref, lo + 1, F.least(hi + F.col(n) + d.anchor_max, F.size(ref)) - lo)
+    r = rows.select(*keys, F.col(hyp).alias("__h"), lo.alias("__lo"), region.alias("__r"))
+    lengths = range(d.anchor_min, d.anchor_max + 1)
+    once = unique_ngrams(r, [*keys, "__lo"], "__r", lengths).withColumn("g", F.col("pos") + F.col("__lo")).select(*keys, "n", "gram", "g")
+    said = first_positions(r, keys, "__h", lengths)
+    found = said.join(once, [*keys, "n", "gram"]).groupBy(*keys)
+    order = F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("minus"), F.col("first_pos").alias("h"), "g")))
+    return found.agg(order.alias("anchors"))
+
+
+def _bonus(anchor: Column, p: Column, n_hyp: Column, width: Column, d=DEFAULTS) -> Column:
+    """L2c for a window: the words of anchors that don't overlap and sit at about the same relative place on both sides."""
+
+    def add(state: Column, a: Column) -> Column:
+        k = -a["minus"]
+        inside = (a["g"] >= p) & (a["g"] + k <= p + width)
+        away = F.abs(a["h"] / F.greatest(n_hyp - k, F.lit(1)) - (a["g"] - p) / F.greatest(width - k, F.lit(1)))
+        free = ~F.exists(state["used"], lambda u: (u["a"] < a["h"] + k) & (a["h"] < u["b"]))
+        took = F.struct((state["sum"] + k).alias("sum"), F.concat(state["used"], F.array(F.struct(a["h"].alias("a"), (a["h"] + k).alias("b")))).alias("used"))
+        return F.when(inside & free & (away <= d.anchor_tolerance), took).otherwise(state)
+
+    start = F.struct(F.lit(0).alias("sum"), F.array().cast("array<struct<a:int,b:int>>").alias("used"))
+    return F.aggregate(F.coalesce(anchor, F.array().cast("array<struct<minus:int,h:int,g:int>>")), start, add)["sum"]
+
+
+def scored_match(
+    rows: DataFrame, ref: str, hyp: str, expected: str, n: str, committed: str | None = None, anchor: str | None = None,
+    overlap_weight: float = 0.0, boundary_weight: float = 0.0, anchor_weight: float = 0.0, back: int = DEFAULTS.search_back, forward: int = DEFAULTS.search_forward, d=DEFAULTS,
+) -> DataFrame:
+    """L2 with its optional terms: distance + overlap penalty (L2a) + boundary penalty (L2b) - anchor bonus.
+
+    A term with weight 0 isn't computed at all. Adds start_idx and effective; of equal positions the smallest counts.
+    """
+    rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    r, h = F.col(ref), F.col(hyp)
+    lo = F.greatest(F.lit(0), F.col(expected) - back).cast("int")
+    hi = F.greatest(F.least(F.size(r) - F.col(n) + 1, F.col(expected) + forward), lo + 1).cast("int")
+    width, n_hyp, said = F.least(F.col(n), F.size(r) - lo), F.size(h), F.array_join(h, " ")
+    edge = F.when(n_hyp >= 3, F.least(F.lit(d.boundary_words), F.floor(n_hyp / 3).cast("int"))).otherwise(F.lit(0))
+    text = lambda arr, at, k: F.array_join(F.slice(arr, at + 1, k), " ")
+    share = lambda a, b: F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b), F.lit(1))
+
+    def candidate(p: Column) -> Column:
+        total = F.levenshtein(said, text(r, p, width)).cast("double")
+        if overlap_weight:
+            total = total + F.greatest(F.lit(0), F.col(committed) - p) * overlap_weight
+        if boundary_weight:
+            head = share(text(h, F.lit(0), edge), text(r, p, edge))
+            tail = share(text(h, n_hyp - edge, edge), text(r, p + width - edge, edge))
+            total = total + F.when(edge > 0, (head + tail) / 2 * F.length(said) * boundary_weight).otherwise(0.0)
+        if anchor_weight:
+            total = total - F.least(_bonus(F.col(anchor), p, n_hyp, width, d) * F.lit(anchor_weight), F.lit(d.anchor_cap))
+        return F.struct(total.alias("effective"), p.alias("p"))
+
+    out = rows.withColumn("__m", F.array_min(F.transform(F.sequence(lo, hi - 1), candidate)))
+    return out.withColumn("start_idx", F.col("__m.p").cast("long")).withColumn("effective", F.col("__m.effective")).drop("__m")

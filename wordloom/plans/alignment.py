@@ -440,3 +440,45 @@ def sc2(spark, sf):
 def j1(spark, sf):
     t = D.timeline(spark, sf).withColumn("ref_word_idx", (F.row_number().over(Window.partitionBy("file_no").orderBy(*ORDER)) * 9 - 1).cast("long"))
     return G.with_speakers(t, sc2(spark, sf)).select("event_id", "speaker_id")
+
+
+NEAR = 8
+
+
+def _penalised(extra: str) -> str:
+    return f"""WITH {LOC_SQL}, bounds AS (SELECT *, greatest(0, expected - {NEAR}) AS lo, array_to_string(hyp, ' ') AS h, CASE WHEN len(hyp) >= 3 THEN least(10, len(hyp) // 3) ELSE 0 END AS k FROM loc WHERE n > 0),
+spans AS (SELECT *, greatest(least(len(ref) - n + 1, expected + {NEAR}), lo + 1) AS hi, least(n, len(ref) - lo) AS width FROM bounds),
+places AS (SELECT file_no, chunk_index, h, hyp, k, width, expected, ref, unnest(range(lo, hi)) AS p FROM spans),
+ends AS (SELECT *, array_to_string(hyp[1:k], ' ') AS h1, array_to_string(ref[p + 1:p + k], ' ') AS r1, array_to_string(hyp[len(hyp) - k + 1:len(hyp)], ' ') AS h2, array_to_string(ref[p + width - k + 1:p + width], ' ') AS r2 FROM places),
+eff AS (SELECT file_no, chunk_index, p, levenshtein(h, array_to_string(ref[p + 1:p + width], ' '))::DOUBLE + {extra} AS e FROM ends),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY file_no, chunk_index ORDER BY round(e, 9), p) AS r FROM eff)
+SELECT file_no, chunk_index, p AS start_idx, round(e, 6) AS effective FROM ranked WHERE r = 1"""
+
+
+@query("L2a_overlap_penalty", _penalised("greatest(0, expected + 2 - p) * 40.0::DOUBLE"))
+def l2a(spark, sf):
+    c = loc_chunks(spark, sf).where("n > 0").withColumn("committed", F.col("expected") + 2)
+    m = L.scored_match(c, "ref", "hyp", "expected", "n", committed="committed", overlap_weight=40.0, back=NEAR, forward=NEAR)
+    return m.select("file_no", "chunk_index", "start_idx", F.round("effective", 6).alias("effective"))
+
+
+@query("L2b_boundary_penalty", _penalised("CASE WHEN k > 0 THEN (levenshtein(h1, r1) / greatest(length(h1), length(r1), 1)::DOUBLE + levenshtein(h2, r2) / greatest(length(h2), length(r2), 1)::DOUBLE) / 2 * length(h) * 0.5::DOUBLE ELSE 0 END"))
+def l2b(spark, sf):
+    c = loc_chunks(spark, sf).where("n > 0")
+    m = L.scored_match(c, "ref", "hyp", "expected", "n", boundary_weight=0.5, back=NEAR, forward=NEAR)
+    return m.select("file_no", "chunk_index", "start_idx", F.round("effective", 6).alias("effective"))
+
+
+@query("L2c_anchor_bonus")
+def l2c(spark, sf):
+    c = loc_chunks(spark, sf).where("n > 0")
+    a = L.anchors(c, ["file_no", "chunk_index"], "ref", "hyp", "expected", "n", NEAR, NEAR)
+    m = L.scored_match(c.join(a, ["file_no", "chunk_index"], "left"), "ref", "hyp", "expected", "n", anchor="anchors", anchor_weight=2.0, back=NEAR, forward=NEAR)
+    return m.select("file_no", "chunk_index", "start_idx", F.round("effective", 6).alias("effective"))
+
+
+@query("L10_replay")
+def l10(spark, sf):
+    """First pass and re-sync from the cached options alone, beside what the first pass chose."""
+    first = _best(spark, sf).select("file_no", "chunk_index", F.col("start_idx").alias("first_start"), F.col("nd").alias("first_nd"))
+    return first.join(l6(spark, sf).select("file_no", "chunk_index", "new_start", "new_nd", "status"), ["file_no", "chunk_index"])
