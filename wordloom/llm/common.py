@@ -38,16 +38,19 @@ class Remembered(dict):
 
     Hits are plain dictionary lookups. When `limit` keys are in, they become the older generation and the one before is
     dropped; a key that is asked for again moves back. So memory stays within two generations, and frequent keys stay.
+    Keys over `longest` are made anew each time.
     """
 
-    def __init__(self, make, limit: int):
+    def __init__(self, make, limit: int, longest: int | None = None):
         super().__init__()
-        self.make, self.limit, self.old = make, limit, {}
+        self.make, self.limit, self.longest, self.old = make, limit, longest, {}
 
     def __missing__(self, key):
         found = self.old.get(key)
         if found is None:
             found = self.make(key)
+        if self.longest is not None and len(key) > self.longest:
+            return found
         if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()

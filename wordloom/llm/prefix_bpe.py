@@ -92,7 +92,7 @@ class PrefixBpe:
         ordered = sorted(self.added, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, ordered)) + ")") if ordered else None
         self.pairs = Remembered(lambda key: self._apart(key >> 32, key & 0xFFFFFFFF, NEVER), REMEMBERED)
-        self.known = Remembered(self._piece, REMEMBERED)
+        self.known = Remembered(self._piece, REMEMBERED, LONGEST_REMEMBERED)
 
     def forget(self) -> None:
         """Drops what a task has remembered; the broadcast object outlives the task in its worker."""
@@ -126,9 +126,6 @@ class PrefixBpe:
                 found.add(i)
         return found
 
-    def compatible(self, left: int, right: int) -> bool:
-        return self.pairs[left << 32 | right]
-
     def encode_bytes(self, raw: bytes) -> list[int]:
         """Ids of one pre-token."""
         shown = raw.decode("latin-1").translate(self.table)
@@ -136,12 +133,14 @@ class PrefixBpe:
         if one is not None and one in self.valid:
             return [one]
         n = len(raw)
-        last, size = [-1] * (n + 1), [0] * (n + 1)
+        last, size, pairs = [-1] * (n + 1), [0] * (n + 1), self.pairs
         for at, (length, token) in self.automaton.iter(shown):
             end = at + 1
-            start = end - length
-            if last[end] < 0 and (start == 0 or (last[start] >= 0 and self.compatible(last[start], token))):
-                last[end], size[end] = token, length
+            if last[end] < 0:
+                start = end - length
+                # every shorter prefix has its last token by now, as each byte is a token
+                if not start or pairs[last[start] << 32 | token]:
+                    last[end], size[end] = token, length
         ids, end = [], n
         while end:
             ids.append(last[end])
@@ -156,22 +155,22 @@ class PrefixBpe:
         ids = self.encode_bytes(piece.encode())
         return ",".join(map(str, ids)), b"".join(map(self.bytes_of.__getitem__, ids))
 
-    def pieces(self, text: str) -> Iterator[tuple[str, bytes]]:
-        known = self.known
-        parts = self.special.split(text) if self.special else [text]
-        for k, part in enumerate(parts):
+    def pieces(self, text: str) -> list[tuple[str, bytes]]:
+        """What each pre-token and added token gives, in order."""
+        found, known = [], self.known.__getitem__
+        for k, part in enumerate(self.special.split(text) if self.special else [text]):
             if k % 2:
-                yield str(self.added[part]), part.encode()
+                found.append((str(self.added[part]), part.encode()))
             elif part:
-                for p in self.split.findall(part):
-                    yield known[p] if len(p) <= LONGEST_REMEMBERED else self._piece(p)
+                found += map(known, self.split.findall(part))
+        return found
 
     def encode(self, text: str) -> list[int]:
         return [int(i) for ids, _ in self.pieces(text) for i in ids.split(",")]
 
     def digest(self, text: str | None) -> tuple[int, str, str, str]:
         """Number of ids, hash of the ids, hash of the decoded text; and the ids as decimals."""
-        found = list(self.pieces(text)) if text else []
+        found = self.pieces(text) if text else []
         ids = ",".join([x for x, _ in found])
         decoded = b"".join([x for _, x in found]).decode("utf-8", errors="replace")
         return (
