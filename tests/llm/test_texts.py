@@ -217,3 +217,34 @@ def test_language_model_of_nothing(spark):
     assert H.score_texts(docs(spark, []).limit(0)).count() == 0
     only_held = [(i, "a b") for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
     assert {(r.train_tokens, r.base_score) for r in H.score_texts(docs(spark, only_held)).collect()} == {(0, 0.0)}
+
+
+def test_expected_counts_side_by_side_equal_the_stream(monkeypatch):
+    rng = np.random.default_rng(8)
+    model = H.from_counts(rng.random(3), rng.random((3, 3)) * 5, rng.random((3, 6)) * 9)
+    stream = np.concatenate([[*rng.integers(1, 6, size=n), 0] for n in (0, 1, 40, 7, 90, 0, 5, 39)])
+    want = H._pack(*H._Stream(model, stream).expected())
+    for side in (0, 1, 40, 1000):
+        monkeypatch.setattr(H, "SIDE_TOKENS", side)
+        np.testing.assert_allclose(H.expected_counts(model, stream), want)
+
+
+def test_every_round_covers_all_training_texts(spark):
+    rows = [(i, " ".join(f"w{i * j % 23}" for j in range(i % 50))) for i in range(120)]
+    training = H.stage_texts(docs(spark, rows).repartition(3))[2]
+    every = np.concatenate(list(H._classes_of(training.toArrow().to_batches())))
+    assert (every == 0).sum() == sum(zlib.crc32(str(i).encode()) % 7 != 2 for i, _ in rows)
+    tokens = np.bincount(every, minlength=H.CLASSES)
+    want = H.first_model(tokens, H.STATES)
+    for _ in range(H.ROUNDS):
+        want = H._unpack(H.expected_counts(want, every), H.STATES, H.CLASSES)
+    for a, b in zip(H.train_model(training, tokens), want, strict=True):
+        np.testing.assert_allclose(a, b, rtol=1e-3, atol=1e-5)
+
+
+def test_few_long_training_texts_teach_the_states(spark):
+    """Both training texts were missing from the bounded sample of old, and the states stayed alike."""
+    half = ["alpha", "beta", "gamma", "delta"] * 12 + ["uno", "dos", "tres", "cuatro"] * 13
+    rows = [(i, " ".join(half * 3000)) for i in (41, 145)] + [(141, " ".join(half * 3))]
+    held = {r.doc_id: r for r in H.score_texts(docs(spark, rows)).collect()}[141]
+    assert held.held_out and held.score > held.base_score + 0.2 * held.n_tokens

@@ -5,19 +5,20 @@ the end token has its own), and a class emits its words by their corpus counts p
 words: P(token | state) = P(class | state) * (c + 1) / (N_k + V_k + 1). So the states' parameters are bounded
 (STATES x CLASSES), while the counts of words are exact, cover all training texts and grow with the corpus.
 
-One pass tokenises all texts into blocks of about BLOCK_TOKENS tokens and stages them: for each text its classes and
-its words as numbers of the block's dictionary, and for each block its dictionary with training counts, dealt to
-buckets by a hash of the word and packed. A word is there once for each block, so no word is hot and no text is
-exploded. Each bucket adds up its words over all blocks and answers every block with the corpus counts of its words;
+One pass tokenises all texts into blocks of about BLOCK_TOKENS tokens and stages them: for each text its words as
+numbers of the block's dictionary, and for each block the classes of its training texts and its dictionary with
+training counts, dealt to buckets by a hash of the word and packed. A word is there once for each block, so no word is
+hot and no text is exploded. Each bucket adds up its words over all blocks and answers every block with the corpus counts of its words;
 the answers then meet the texts by block. Totals of at most CLASSES rows come to the driver.
 
 Each Baum-Welch round reads the staged classes of all training texts, every task adds up its expected counts, and their
-sums (as whole numbers, so the order of adding doesn't matter) give the next parameters. The starting point comes from
-a few rounds over a bounded sample (SAMPLE_TOKENS, by a hash of the id); the last ROUNDS rounds cover all training
-texts.
+sums (as whole numbers, so the order of adding doesn't matter) give the next parameters. All ROUNDS rounds do so,
+whatever the size. They start from the class totals of all training texts, each class dealt to the states in seeded
+random shares: shares by text or position would even out as the corpus grows, and the states would start alike.
 
 The forward recursion is exact for texts of any length: a task's texts form one stream that restarts after each end
 token; it is cut into equal pieces whose transfer matrices are computed side by side, chained, and then filled in.
+Training takes that way for texts over SIDE_TOKENS only; shorter ones are laid side by side, which needs no transfers.
 
 Defined results: null and empty texts are one end token; null ids are trained on (crc32 of the empty text); repeated
 ids and rows are texts of their own; without training texts every count is 0 and the parameters are uniform; extra
@@ -41,11 +42,10 @@ from wordloom.llm.common import doc_hash_mod, materialize, read_table, scratch_p
 
 STATES = 6
 CLASSES = 4096
-ROUNDS = 2
-SAMPLE_ROUNDS = 20
-SAMPLE_TOKENS = 400_000
+ROUNDS = 22
 BLOCK_TOKENS = 500_000
 STREAM_TOKENS = 1_000_000
+SIDE_TOKENS = 2048
 FOLDS, HELD_OUT = 7, 2
 UNIT = 1 << 20
 END = b""
@@ -169,6 +169,61 @@ class _Stream:
         return gamma[self.first].sum(0), step * model.step, emit
 
 
+def _side_by_side(model: Model, obs: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Expected counts of texts laid end to end in obs: all first tokens, then all second ones, the longest text first.
+
+    Everything is held by state, (state, token), so each step works on the texts that reach so far in long rows.
+    """
+    k = len(model.start)
+    rank = np.empty(len(sizes), np.int64)
+    rank[np.argsort(-sizes, kind="stable")] = np.arange(len(sizes))
+    left = len(sizes) - np.cumsum(np.bincount(sizes))[:-1]  # the texts that have a token at each place
+    at = np.concatenate([[0], np.cumsum(left)])
+    place = np.arange(len(obs)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    laid = np.empty(len(obs), np.int64)
+    laid[at[place] + np.repeat(rank, sizes)] = obs
+    emit = np.take(model.emit, laid, axis=1)
+    alpha, scale = np.empty_like(emit), np.empty(len(obs))
+    x = np.repeat(model.start[:, None], left[0], axis=1)
+    onward = np.ascontiguousarray(model.step.T)
+    for t, m in enumerate(left):
+        if t:
+            x = onward @ x[:, :m]
+        a, b = at[t], at[t + 1]
+        x *= emit[:, a:b]
+        s = x.sum(0, out=scale[a:b])
+        x /= s
+        alpha[:, a:b] = x
+    emit /= scale
+    step, beta = np.zeros((k, k)), np.ones((k, left[-1]))
+    for t in range(len(left) - 1, 0, -1):
+        a, b, m = at[t], at[t + 1], left[t]
+        eb = emit[:, a:b]
+        eb *= beta
+        before = at[t - 1]
+        step += alpha[:, before : before + m] @ eb.T
+        alpha[:, a:b] *= beta  # the posterior of its states from here on
+        beta = np.ones((k, left[t - 1]))
+        np.matmul(model.step, eb, out=beta[:, :m])
+    alpha[:, : at[1]] *= beta
+    out = np.stack([np.bincount(laid, weights=g, minlength=model.emit.shape[1]) for g in alpha])
+    return alpha[:, : at[1]].sum(1), step * model.step, out
+
+
+def expected_counts(model: Model, stream: np.ndarray) -> np.ndarray:
+    """Packed expected counts of a stream of whole texts, each closed by its end token."""
+    ends = np.flatnonzero(stream == 0)
+    sizes = np.diff(ends, prepend=-1)
+    short = sizes <= SIDE_TOKENS
+    here = np.repeat(short, sizes)
+    total = np.zeros(len(model.start) * (1 + model.step.shape[1] + model.emit.shape[1]))
+    if short.any():
+        total += _pack(*_side_by_side(model, stream[here], sizes[short]))
+    if not short.all():
+        total += _pack(*_Stream(model, stream[~here]).expected())
+    return total
+
+
 def _streams(texts: Iterator[np.ndarray]) -> Iterator[np.ndarray]:
     held, n = [], 0
     for x in texts:
@@ -216,8 +271,9 @@ def _part_dictionary(words: list[bytes], buckets: int) -> tuple[np.ndarray, list
     return order, [(int(bucket[order[i]]), int(i), int(j)) for i, j in zip(cuts, cuts[1:], strict=False)]
 
 
-def stage_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(texts, dictionaries), staged once. texts: block, doc_id, held_out, n, cls, loc; dictionaries: block, bucket, words, counts.
+def stage_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(texts, dictionaries, training), staged once. texts: block, doc_id, held_out, loc; dictionaries: block, bucket, words, counts;
+    training: cls, the classes of a block's training texts, each text closed by its end token.
 
     A block's dictionary is dealt to buckets by a hash of the word and packed, a row for each bucket; the numbers in
     `loc` follow the order of buckets and of words in them.
@@ -228,8 +284,8 @@ def stage_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     picked = docs.select(
         F.col(id_col).alias("doc_id"), (doc_hash_mod(F.col(id_col), FOLDS) == HELD_OUT).alias("held_out"), F.col(text_col).cast("string").alias("text")
     )
-    schema = f"kind int, block long, doc_id {kind.simpleString()}, held_out boolean, n long, c binary, loc binary, bucket int, words binary, counts binary"
-    names = ["kind", "block", "doc_id", "held_out", "n", "c", "loc", "bucket", "words", "counts"]
+    schema = f"kind int, block long, doc_id {kind.simpleString()}, held_out boolean, c binary, loc binary, bucket int, words binary, counts binary"
+    names = ["kind", "block", "doc_id", "held_out", "c", "loc", "bucket", "words", "counts"]
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, seq, id_type = TaskContext.get().partitionId() << 24, 0, None
@@ -252,19 +308,27 @@ def stage_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.zeros(k, np.int32)), pa.array(np.full(k, base + seq)), pa.array(ids, id_type), pa.array(held, pa.bool_()),
-                    pa.array([len(x) for x in moved], pa.int64()), pa.array([_shut(cls[x]) for x in moved], pa.binary()),
+                    pa.nulls(k, pa.binary()),
                     pa.array([_shut(x.astype("<i4")) for x in moved], pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()),
                 ],
                 names,
             )
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.ones(m, np.int32)), pa.array(np.full(m, base + seq)), pa.nulls(m, id_type), pa.nulls(m, pa.bool_()), pa.nulls(m, pa.int64()),
+                    pa.array(np.ones(m, np.int32)), pa.array(np.full(m, base + seq)), pa.nulls(m, id_type), pa.nulls(m, pa.bool_()),
                     pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary()), pa.array([r[0] for r in rows], pa.int32()),
                     pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary()),
                 ],
                 names,
             )
+            if training:
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([2], pa.int32()), pa.array([base + seq]), pa.nulls(1, id_type), pa.nulls(1, pa.bool_()), pa.array([_shut(cls[np.concatenate(training)])], pa.binary()),
+                        pa.nulls(1, pa.binary()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()),
+                    ],
+                    names,
+                )
 
         for b in batches:
             id_type = b.schema.field(0).type
@@ -284,9 +348,9 @@ def stage_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     path = scratch_path(spark, "texts")
     staged = picked.mapInArrow(tokenise, schema)
     staged.write.partitionBy("kind").parquet(path)
-    stored = [spark.read.schema(staged.schema).parquet(path).where(F.col("kind") == k) for k in (0, 1)]  # two reads, so that they can meet
-    texts = stored[0].select("block", "doc_id", "held_out", "n", F.col("c").alias("cls"), "loc")
-    return texts, stored[1].select("block", "bucket", "words", "counts")
+    stored = [spark.read.schema(staged.schema).parquet(path).where(F.col("kind") == k) for k in (0, 1, 2)]  # reads of their own, so that they can meet
+    texts = stored[0].select("block", "doc_id", "held_out", "loc")
+    return texts, stored[1].select("block", "bucket", "words", "counts"), stored[2].select(F.col("c").alias("cls"))
 
 
 def count_words(dictionaries: DataFrame) -> DataFrame:
@@ -334,55 +398,33 @@ def _unpack(flat: np.ndarray, states: int, classes: int) -> Model:
     return from_counts(flat[:a], flat[a:b].reshape(states, states), flat[b:].reshape(states, classes))
 
 
-def first_model(classes_of_texts: list[np.ndarray], states: int, classes: int, rounds: int, seed: int = 7) -> Model:
-    """A few rounds over a sample, from emissions of texts dealt to the states at random and steps that mostly stay."""
-    if not classes_of_texts:
-        return uniform(states, classes)
-    rng = np.random.default_rng(seed)
-    emit = np.zeros((states, classes))
-    for x in classes_of_texts:
-        np.add.at(emit[rng.integers(states)], x, 1.0)
-    n = emit.sum() / states
-    model = from_counts(np.zeros(states), np.full((states, states), 0.02 * n / states) + np.eye(states) * n, emit + 0.1 * emit.sum(0) / states)
-    stream = np.concatenate(classes_of_texts)
-    for _ in range(rounds):
-        model = from_counts(*_Stream(model, stream).expected())
-    return model
+def first_model(tokens: np.ndarray, states: int, seed: int = 7) -> Model:
+    """From class totals: emissions dealt to the states in random shares, and steps that mostly stay."""
+    share = np.random.default_rng(seed).exponential(size=(states, len(tokens)))
+    n = tokens.sum() / states
+    return from_counts(np.zeros(states), np.full((states, states), 0.02 * n / states) + np.eye(states) * n, tokens * share / share.sum(0))
 
 
-def train_model(texts: DataFrame, states: int = STATES, classes: int = CLASSES, rounds: int = ROUNDS, sample_tokens: int = SAMPLE_TOKENS) -> Model:
-    spark = texts.sparkSession
-    training = texts.where("not held_out")
-    total = training.agg(F.sum("n").alias("n")).first()["n"] or 0
-    if not total:
+def train_model(training: DataFrame, tokens: np.ndarray, states: int = STATES, rounds: int = ROUNDS) -> Model:
+    """Baum-Welch; training: cls as staged, tokens: the number of training tokens of each class."""
+    spark, classes = training.sparkSession, len(tokens)
+    if not tokens.sum():
         return uniform(states, classes)
-    rate = min(1.0, sample_tokens / total)
-    order = F.xxhash64("doc_id", "n")
-    sample = training.where(F.pmod(order, F.lit(1 << 30)) <= int(rate * (1 << 30))).select("cls", order.alias("h"))
-
-    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = list(_classes_of(batches))
-        flat = _pack(*first_model(found, states, classes, SAMPLE_ROUNDS))
-        yield pa.RecordBatch.from_arrays([pa.array([flat.astype("<f8").tobytes()])], ["model"])
-
-    got = sample.repartition(1).sortWithinPartitions("h", "cls").select("cls").mapInArrow(begin, "model binary").first()
-    flat = np.frombuffer(bytes(got["model"]), "<f8")
-    a, b = states, states + states * states
-    model = Model(flat[:a], flat[a:b].reshape(states, states), flat[b:].reshape(states, classes))
+    model = first_model(tokens, states)
     for _ in range(rounds):
         sent = spark.sparkContext.broadcast(model)
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = None
             for stream in _streams(_classes_of(batches)):
-                one = _pack(*_Stream(sent.value, stream).expected())
+                one = expected_counts(sent.value, stream)
                 total = one if total is None else total + one
             if total is not None:
                 whole = np.rint(total * UNIT).astype(np.int64)
                 at = np.flatnonzero(whole)
                 yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(whole[at])], ["k", "v"])
 
-        sums = training.select("cls").mapInArrow(count, "k long, v long").groupBy("k").agg(F.sum("v").alias("v")).collect()
+        sums = training.mapInArrow(count, "k long, v long").groupBy("k").agg(F.sum("v").alias("v")).collect()
         flat = np.zeros(states + states * states + states * classes)
         for r in sums:
             flat[r["k"]] = r["v"] / UNIT
@@ -393,7 +435,7 @@ def train_model(texts: DataFrame, states: int = STATES, classes: int = CLASSES,
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, classes: int = CLASSES) -> DataFrame:
     spark = docs.sparkSession
-    texts, dictionaries = stage_texts(docs, id_col, text_col)
+    texts, dictionaries, training = stage_texts(docs, id_col, text_col)
     counts = count_words(dictionaries)
     by_class = counts.where("block = -1").groupBy("bucket").agg(F.sum("tokens").alias("n"), F.sum("known").alias("v")).collect()
     tokens, known = np.zeros(classes), np.zeros(classes)
@@ -401,7 +443,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         tokens[r["bucket"]], known[r["bucket"]] = r["n"], r["v"]
     n, v = int(tokens.sum()), int(known.sum())
     inside = -np.log10(tokens + known + 1)  # of a word's share in its class, but for log10(c + 1)
-    model = train_model(texts, states, classes)
+    model = train_model(training, tokens, states)
     sent = spark.sparkContext.broadcast((model, inside))
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
