@@ -13,6 +13,7 @@ from wordloom.functions import text as T
 from wordloom.operators import audio, evaluate, intervals, localize, models, segments, sequences, splits, trim
 from wordloom.operators import experiments as X
 from wordloom.operators import reports as R
+from wordloom.plans import alignment
 from wordloom.sources import readers, sinks
 from wordloom.streaming.sessions import speaker_sessions
 
@@ -290,3 +291,52 @@ def test_anchor_bonus_equals_brute_force(spark):
             e = plain_distance(" ".join(hyp), " ".join(window)) - min(2.0 * bonus, 60.0)
             best = min(best or (e, p), (e, p))
         assert got[i] == (best[1], best[0])
+
+
+def test_registered_searches_reach_600_back_and_200_forward(spark, tmp_path):
+    """A conversation that says its first turn again 45 words later: each search against brute force over the whole reach."""
+    rng = random.Random(3)
+    said = [[rng.choice("bcdfgklmn") + rng.choice("aeiou") + rng.choice("rstvz") for _ in range(n)] for n in (15, 30, 12)]
+    turns = [said[0], said[1], said[0], said[2]]
+    spark.createDataFrame([(1, t, "user", " ".join(w)) for t, w in enumerate(turns)], "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    ref = [w for t in turns for w in t]
+    run = lambda name: {r.chunk_index: r for r in alignment.QUERIES[name](spark, str(tmp_path)).collect()}
+    plain, penalised, bounded, anchored, best, replay = (run(q) for q in ("L2_window_match", "L2a_overlap_penalty", "L2b_boundary_penalty", "L2c_anchor_bonus", "L4_best_option", "L10_replay"))
+    deltas = []
+    for c, words in enumerate(turns, 1):
+        expected, n = sum(map(len, turns[: c - 1])), len(words)
+        places = range(max(0, expected - 600), max(min(len(ref) - n + 1, expected + 200), max(0, expected - 600) + 1))
+        away = lambda h, p: plain_distance(" ".join(h), " ".join(ref[p : p + n]))  # noqa: B023, E731
+        share = lambda h, p: away(h, p) / max(len(" ".join(h)), len(" ".join(ref[p : p + n])), 1)  # noqa: B023, E731
+        ends = lambda a, b: plain_distance(" ".join(a), " ".join(b)) / max(len(" ".join(a)), len(" ".join(b)), 1)
+        hyp = [w + "s" * (i % 11 == 5) for i, w in enumerate(words, 1) if i % 7 != 3]
+        d, p = min((away(hyp, p), p) for p in places)
+        assert (plain[c].start_idx, plain[c].end_idx, plain[c].nd) == (p, p + n, round(share(hyp, p), 4))
+        e, p = min((away(hyp, p) + max(0, expected + 2 - p) * 40.0, p) for p in places)
+        assert (penalised[c].start_idx, penalised[c].effective) == (p, e)
+        k = min(10, len(hyp) // 3)
+        e, p = min((round(away(hyp, p) + (ends(hyp[:k], ref[p : p + k]) + ends(hyp[-k:], ref[p + n - k : p + n])) / 2 * len(" ".join(hyp)) * 0.5, 6), p) for p in places)
+        assert (bounded[c].start_idx, bounded[c].effective) == (p, e)
+        grams = [tuple(ref[a : a + m]) for m in range(3, 7) for a in range(len(ref) - m + 1)]
+        usable = sorted((-m, h, ref_at) for m in range(3, 7) for h in range(len(hyp) - m + 1) for ref_at in range(len(ref) - m + 1) if ref[ref_at : ref_at + m] == hyp[h : h + m] and grams.count(tuple(hyp[h : h + m])) == 1)
+
+        def bonus(p):
+            used, total = set(), 0
+            for minus, h, g in usable:  # noqa: B023
+                m = -minus
+                if p <= g and g + m <= p + n and not used & set(range(h, h + m)) and abs(h / max(len(hyp) - m, 1) - (g - p) / max(n - m, 1)) <= 0.25:  # noqa: B023
+                    total += m
+                    used |= set(range(h, h + m))
+            return min(2.0 * total, 60.0)
+
+        e, p = min((away(hyp, p) - bonus(p), p) for p in places)
+        assert (anchored[c].start_idx, anchored[c].effective) == (p, e)
+        options = [w for i, w in enumerate(words, 1) if i % 7 != 3], [w + "xxx" * (i % 5 == 2 and c % 2 == 0) for i, w in enumerate(words, 1)]
+        found = [min((away(h, p), p) for p in places)[1] for h in options]
+        nds = [round(share(h, p), 4) for h, p in zip(options, found, strict=True)]
+        won = int(nds[1] <= nds[0])
+        assert (best[c].option, best[c].start_idx, best[c].nd) == (won, found[won], nds[won]) and replay[c].first_start == found[won]
+        deltas.append(nds[0] - nds[1])
+    assert plain[3].start_idx == best[3].start_idx == 0 and penalised[1].start_idx == 45
+    won = alignment.QUERIES["A19_winner_counts"](spark, str(tmp_path)).collect()
+    assert [(r.chunks, r.second_wins, r.mean_delta) for r in won] == [(4, sum(x >= 0 for x in deltas), round(sum(deltas) / 4, 6))]

@@ -15,19 +15,20 @@ FAR = (1 << 30) - 1
 def window_match(ref: Column, hyp: Column, expected: Column, n: Column, back: int = DEFAULTS.search_back, forward: int = DEFAULTS.search_forward) -> Column:
     """L2: the reference window nearest to the hypothesis by character distance, the smallest position of equals.
 
-    A fold over the window's positions: each distance is computed only up to the best so far, so the search is pruned as
-    it goes and a chunk is one row from start to end. Penalties and bonus are off by default and add no term.
+    A fold over the window's positions: each distance is computed only up to the best so far, beginning with that of the
+    expected place, so the search is pruned as it goes and a chunk is one row from start to end. Penalties and bonus are off by default and add no term.
     """
     total = F.size(ref)
     lo = F.greatest(F.lit(0), expected - back)
     hi = F.greatest(F.least(total - n + 1, expected + forward), lo + 1)
     width = F.least(n, total - lo)
     said = F.array_join(hyp, " ")
-    start = F.struct(F.lit(FAR).alias("d"), lo.cast("int").alias("p"))
+    first = F.least(F.greatest(expected, lo), hi - 1).cast("int")
+    start = F.struct(F.pmod(F.levenshtein(said, F.array_join(F.slice(ref, first + 1, width), " ")), F.lit(FAR + 1)).alias("d"), first.alias("p"))
 
     def step(best: Column, p: Column) -> Column:
         # over the limit the built-in gives -1, which the modulus makes the farthest distance: one evaluation a step
-        d = F.call_function("levenshtein", said, F.array_join(F.slice(ref, p + 1, width), " "), F.greatest(best["d"] - 1, F.lit(0)))
+        d = F.call_function("levenshtein", said, F.array_join(F.slice(ref, p + 1, width), " "), best["d"])
         return F.least(best, F.struct(F.pmod(d, F.lit(FAR + 1)).alias("d"), p.cast("int").alias("p")))
 
     best = F.aggregate(F.sequence(lo.cast("int"), (hi - 1).cast("int")), start, step)
@@ -252,9 +253,11 @@ def scored_match(
     """L2 with its optional terms: distance + overlap penalty (L2a) + boundary penalty (L2b) - anchor bonus.
 
     A term with weight 0 isn't computed at all. Adds start_idx and effective; of equal positions the smallest counts.
+    As in L2, a fold that begins with the expected place: a distance that no bonus could bring down to the best so far is
+    cut off, and its bonus isn't computed.
     """
     rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    r, h = F.col(ref), F.col(hyp)
+    r, h, defaults = F.col(ref), F.col(hyp), d
     lo = F.greatest(F.lit(0), F.col(expected) - back).cast("int")
     hi = F.greatest(F.least(F.size(r) - F.col(n) + 1, F.col(expected) + forward), lo + 1).cast("int")
     width, n_hyp, said = F.least(F.col(n), F.size(r) - lo), F.size(h), F.array_join(h, " ")
@@ -262,17 +265,35 @@ def scored_match(
     text = lambda arr, at, k: F.array_join(F.slice(arr, at + 1, k), " ")
     share = lambda a, b: F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b), F.lit(1))
 
-    def candidate(p: Column) -> Column:
-        total = F.levenshtein(said, text(r, p, width)).cast("double")
+    def penalties(p: Column) -> Column:
+        overlap, boundary = F.lit(0.0), F.lit(0.0)
         if overlap_weight:
-            total = total + F.greatest(F.lit(0), F.col(committed) - p) * overlap_weight
+            overlap = F.greatest(F.lit(0), F.col(committed) - p) * overlap_weight
         if boundary_weight:
             head = share(text(h, F.lit(0), edge), text(r, p, edge))
             tail = share(text(h, n_hyp - edge, edge), text(r, p + width - edge, edge))
-            total = total + F.when(edge > 0, (head + tail) / 2 * F.length(said) * boundary_weight).otherwise(0.0)
+            boundary = F.when(edge > 0, (head + tail) / 2 * F.length(said) * boundary_weight).otherwise(0.0)
+        return F.struct(overlap.cast("double").alias("overlap"), boundary.alias("boundary"))
+
+    def candidate(p: Column, d: Column, x: Column) -> Column:
+        total = d.cast("double") + x["overlap"] + x["boundary"]
         if anchor_weight:
-            total = total - F.least(_bonus(F.col(anchor), p, n_hyp, width, d) * F.lit(anchor_weight), F.lit(d.anchor_cap))
+            total = total - F.least(_bonus(F.col(anchor), p, n_hyp, width, defaults) * F.lit(anchor_weight), F.lit(defaults.anchor_cap))
         return F.struct(total.alias("effective"), p.alias("p"))
 
-    out = rows.withColumn("__m", F.array_min(F.transform(F.sequence(lo, hi - 1), candidate)))
+    def once(value: Column, use) -> Column:
+        return F.element_at(F.transform(F.array(value), use), 1)
+
+    def step(best: Column, p: Column) -> Column:
+        def one(x: Column) -> Column:
+            # one above what could still be as good, for the rounding of the sum
+            most = F.floor(best["effective"] - x["overlap"] - x["boundary"] + (defaults.anchor_cap if anchor_weight else 0.0)).cast("int") + 1
+            away = F.when(most < 0, -1).otherwise(F.call_function("levenshtein", said, text(r, p, width), F.greatest(most, F.lit(0))))
+            return once(away, lambda d: F.when(d < 0, best).otherwise(F.least(best, candidate(p, d, x))))
+
+        return once(penalties(p), one)
+
+    first = F.least(F.greatest(F.col(expected), lo), hi - 1).cast("int")
+    start = candidate(first, F.levenshtein(said, text(r, first, width)), penalties(first))
+    out = rows.withColumn("__m", F.aggregate(F.sequence(lo, hi - 1), start, step))
     return out.withColumn("start_idx", F.col("__m.p").cast("long")).withColumn("effective", F.col("__m.effective")).drop("__m")

@@ -247,6 +247,7 @@ def w12(spark, sf):
 
 # --- localisation: the turns of a conversation inside its whole text --------------------------------------------------
 
+# the SQL's search, which is narrower than the queries': DuckDB computes every distance in full
 BACK, FORWARD = 30, 30
 
 
@@ -281,7 +282,7 @@ found AS (SELECT {key}, CASE WHEN n <= 0 THEN expected ELSE p END AS start_idx,
 
 @query("L2_window_match", f"WITH {LOC_SQL}, {match_sql('loc')} SELECT * FROM found")
 def l2(spark, sf):
-    return L.with_match(loc_chunks(spark, sf), "ref", "hyp", "expected", "n", back=BACK, forward=FORWARD).select("file_no", "chunk_index", "start_idx", "end_idx", "nd")
+    return L.with_match(loc_chunks(spark, sf), "ref", "hyp", "expected", "n").select("file_no", "chunk_index", "start_idx", "end_idx", "nd")
 
 
 @query("W1_expected_position", f"WITH {LOC_SQL}, s AS (SELECT file_no, chunk_index, len(ref) AS total, len(hyp) * 0.5::DOUBLE AS speech FROM loc), p AS (SELECT *, coalesce(sum(speech) OVER (PARTITION BY file_no ORDER BY chunk_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(speech) OVER (PARTITION BY file_no) AS all_s FROM s) SELECT file_no, chunk_index, CAST(trunc(before * (CASE WHEN all_s > 0 THEN total / all_s ELSE 1.71 END)) AS BIGINT) AS expected_pos FROM p")
@@ -305,7 +306,7 @@ def _best(spark, sf):
     a = F.flatten(F.transform("said", lambda x, i: F.when((i + 1) % 7 == 3, none).otherwise(F.array(x))))
     b = F.transform("said", lambda x, i: F.when(((i + 1) % 5 == 2) & (F.col("chunk_index") % 2 == 0), F.concat(x, F.lit("xxx"))).otherwise(x))
     c = loc_chunks(spark, sf).withColumn("options", F.array(F.array_join(a, " "), F.array_join(b, " "))).withColumn("speech", F.size("said").cast("double")).withColumn("wps", F.lit(1.0))
-    return L.best_option(c, ["file_no", "chunk_index"], "options", "ref", "expected", "speech", "wps", back=BACK, forward=FORWARD)
+    return L.best_option(c, ["file_no", "chunk_index"], "options", "ref", "expected", "speech", "wps")
 
 
 _BEST = f"WITH {LOC_SQL}, {_OPTIONS_SQL}, {match_sql('opt2', key='file_no, chunk_index, option')}, best AS (SELECT *, row_number() OVER (PARTITION BY file_no, chunk_index ORDER BY nd, option DESC) AS r FROM found) "
@@ -325,7 +326,7 @@ def a19(spark, sf):
     m = None
     for k, h in enumerate((a, b)):
         x = c.withColumn("hyp", h).withColumn("n", F.greatest(F.size("said"), F.size("hyp")))
-        x = L.with_match(x, "ref", "hyp", "expected", "n", back=BACK, forward=FORWARD).select("file_no", "chunk_index", F.col("nd").alias(f"nd{k}"))
+        x = L.with_match(x, "ref", "hyp", "expected", "n").select("file_no", "chunk_index", F.col("nd").alias(f"nd{k}"))
         m = x if m is None else m.join(x, ["file_no", "chunk_index"])
     won = F.when(F.col("nd1") <= F.col("nd0"), 1).otherwise(0)
     return m.groupBy("file_no").agg(F.count("*").alias("chunks"), F.count_if(won == 0).alias("first_wins"), F.count_if(won == 1).alias("second_wins"), F.round(F.avg(F.col("nd0") - F.col("nd1")), 6).alias("mean_delta"))
@@ -442,7 +443,7 @@ def j1(spark, sf):
     return G.with_speakers(t, sc2(spark, sf)).select("event_id", "speaker_id")
 
 
-NEAR = 8
+NEAR = 8  # of the SQL alone, too
 
 
 def _penalised(extra: str) -> str:
@@ -458,22 +459,22 @@ SELECT file_no, chunk_index, p AS start_idx, round(e, 6) AS effective FROM ranke
 @query("L2a_overlap_penalty", _penalised("greatest(0, expected + 2 - p) * 40.0::DOUBLE"))
 def l2a(spark, sf):
     c = loc_chunks(spark, sf).where("n > 0").withColumn("committed", F.col("expected") + 2)
-    m = L.scored_match(c, "ref", "hyp", "expected", "n", committed="committed", overlap_weight=40.0, back=NEAR, forward=NEAR)
+    m = L.scored_match(c, "ref", "hyp", "expected", "n", committed="committed", overlap_weight=40.0)
     return m.select("file_no", "chunk_index", "start_idx", F.round("effective", 6).alias("effective"))
 
 
 @query("L2b_boundary_penalty", _penalised("CASE WHEN k > 0 THEN (levenshtein(h1, r1) / greatest(length(h1), length(r1), 1)::DOUBLE + levenshtein(h2, r2) / greatest(length(h2), length(r2), 1)::DOUBLE) / 2 * length(h) * 0.5::DOUBLE ELSE 0 END"))
 def l2b(spark, sf):
     c = loc_chunks(spark, sf).where("n > 0")
-    m = L.scored_match(c, "ref", "hyp", "expected", "n", boundary_weight=0.5, back=NEAR, forward=NEAR)
+    m = L.scored_match(c, "ref", "hyp", "expected", "n", boundary_weight=0.5)
     return m.select("file_no", "chunk_index", "start_idx", F.round("effective", 6).alias("effective"))
 
 
 @query("L2c_anchor_bonus")
 def l2c(spark, sf):
     c = loc_chunks(spark, sf).where("n > 0")
-    a = L.anchors(c, ["file_no", "chunk_index"], "ref", "hyp", "expected", "n", NEAR, NEAR)
-    m = L.scored_match(c.join(a, ["file_no", "chunk_index"], "left"), "ref", "hyp", "expected", "n", anchor="anchors", anchor_weight=2.0, back=NEAR, forward=NEAR)
+    a = L.anchors(c, ["file_no", "chunk_index"], "ref", "hyp", "expected", "n", DEFAULTS.search_back, DEFAULTS.search_forward)
+    m = L.scored_match(c.join(a, ["file_no", "chunk_index"], "left"), "ref", "hyp", "expected", "n", anchor="anchors", anchor_weight=2.0)
     return m.select("file_no", "chunk_index", "start_idx", F.round("effective", 6).alias("effective"))
 
 
