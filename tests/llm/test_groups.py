@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 import zstandard
+from pyspark.sql import functions as F
 
 from wordloom.llm import embedding_dedup as M
 from wordloom.llm import simhash_dedup as D
@@ -146,6 +147,23 @@ def test_mix_targets_and_takings(spark):
     assert {(r.target, r.taken) for r in mix_table(silent).collect()} == {(0.0, 0)}
 
 
+@pytest.mark.parametrize("copies", [1000, 3])
+def test_equal_rows_are_told_apart_at_the_edge(spark, copies):
+    rows = [(1, "a b c d e", "x")] * copies + [(i, "w w w", "y") for i in range(100)] + [(7, "w w", None)] * 40
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    got = mix_table(df).collect()
+    for size in {r.source_size for r in got}:
+        mine = [r for r in got if r.source_size == size]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= max(r.size for r in mine) / 2
+        assert all(r.taken <= 2 * r.size for r in mine)
+    assert sorted(map(str, got)) == sorted(map(str, mix_table(df.repartition(3)).collect()))
+    clash = df.withColumns({c: F.lit(c) for c in ("s", "whole", "edge", "H", "row", "copies", "__copy", "size")})
+    mixed = mix_rows(clash)
+    assert mixed.columns == clash.columns and {(r.s, r.H, r.row, r.copies) for r in mixed.collect()} == {("s", "H", "row", "copies")}
+    words = lambda rows: sum(len(r.text.split()) for r in rows)
+    assert words(mixed.collect()) == sum(r.taken for r in got)
+
+
 # --- op7
 
 

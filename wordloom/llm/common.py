@@ -24,6 +24,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Column names for own use that clash with none of df's, in any case."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def give_back() -> None:
     """Returns a finished task's memory to the system; reused workers would keep it beside the executor's heap."""
     gc.collect()

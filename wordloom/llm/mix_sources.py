@@ -2,39 +2,57 @@
 
 The mix holds `share` of all words. Each source gets a part by its weight; a target stops at `most` times its source's
 size, and the excess is shared again by weight until none is above. A target of b whole sizes and a rest takes every
-document b times, and once more the documents whose 40-bit hash lies below the source's threshold. The thresholds come
-from nested histograms: words are summed by source and hash bucket (1024), the bucket in which the running sum passes
-the rest is found, and only that bucket is refined, four times. Rows are never sorted; what is sorted are at most 1024
+document b times, and once more the documents whose 60-bit hash lies below the source's threshold. The thresholds come
+from nested histograms: words are summed by source and hash bucket (32768), the bucket in which the running sum passes
+the rest is found, and only that bucket is refined, four times. Rows are never sorted; what is sorted are at most 32768
 bucket sums of a source. The hash covers id and text, so reruns agree.
 
+Rows equal in id, text and source share a hash. Where the threshold falls among them, they are told apart by a hash of
+the number that each row got when it was staged, and the histograms go on in that; equal rows being equal, which of
+them are taken doesn't show. So a source's words come as near its target as whole documents allow.
+
 Only the table of source sizes (a row for each source) goes through unpartitioned windows.
 
 Defined results: a null text counts no words; a null source is a source of its own, last in order; null and repeated
-ids are allowed (rows equal in id and text share a hash and go together); a source without words has target 0; extra
-columns are ignored by `mix_table` and kept by `mix_rows`; an empty table gives an empty result.
+ids are allowed; a source without words has target 0; extra columns are ignored by `mix_table` and kept by `mix_rows`,
+whatever their names (where rows equal in id, text and source differ in them, which are repeated may change between
+runs); an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import WORD_PATTERN, WORD_SQL, materialize, read_table
+from wordloom.llm.common import WORD_PATTERN, WORD_SQL, free_names, materialize, read_table
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
-LEVELS, BITS = 4, 10
+LEVELS, BITS = 4, 15
+TWIN_LEVELS = 3
+
+
+def _hash(id_col: str, text_col: str) -> Column:
+    mark = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.col(text_col), F.lit(""))).cast("binary"))
+    return F.conv(F.substring(mark, 1, LEVELS * BITS // 4), 16, 10).cast("long")
+
+
+def _row_hash(row: Column) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(row), 64 - TWIN_LEVELS * BITS)
+
+
+def _size(text_col: str) -> Column:
+    return F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD_PATTERN)).cast("long")
 
 
 def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    mark = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), text).cast("binary"))
     return docs.select(
         F.col(id_col).alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),
-        F.regexp_count(text, F.lit(WORD_PATTERN)).cast("long").alias("size"),
-        F.conv(F.substring(mark, 1, LEVELS * BITS // 4), 16, 10).cast("long").alias("h"),
+        _size(text_col).alias("size"),
+        _hash(id_col, text_col).alias("h"),
+        F.monotonically_increasing_id().alias("row"),
     )
 
 
@@ -62,57 +80,93 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most
     return full.withColumn("target", target).select("source", "source_size", "target")
 
 
-def thresholds(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
-    """source, source_size, target, whole (copies of every document), below (hashes under it get one more)."""
-    size = F.col("source_size")
-    whole = F.when(size > 0, F.floor(F.col("target") / size)).otherwise(F.lit(0)).cast("long")
-    state = source_targets(sized, weights, share, most).withColumn("whole", whole)
-    state = state.withColumn("rest", F.col("target") - F.col("whole") * size)
-    state = materialize(state.withColumns({"prefix": F.lit(0).cast("long"), "under": F.lit(0).cast("long")}), "targets")
-    for level in range(1, LEVELS + 1):
-        shift = (LEVELS - level) * BITS
+def _refined(rows: DataFrame, state: DataFrame, levels: int) -> DataFrame:
+    """state with prefix, under and words as the histograms of rows (source, size, h) leave them: the hash at which the
+    running sum of words passes the rest, the words before it and the words at it (null: the rest is never passed)."""
+    for level in range(1, levels + 1):
+        shift = (levels - level) * BITS
         bound = state.select(F.col("source").alias("s"), "prefix", "under", "rest")
-        inside = sized.select("source", "size", "h").where("size > 0")
+        inside = rows.select("source", "size", "h").where("size > 0")
         inside = inside.join(bound.select("s", "prefix"), F.col("source").eqNullSafe(F.col("s")) & (F.shiftright("h", shift + BITS) == F.col("prefix")))
         sums = inside.groupBy("source", F.shiftright("h", shift).alias("bucket")).agg(F.sum("size").alias("words"))
         run = F.sum("words").over(Window.partitionBy("source").orderBy("bucket"))
         sums = sums.withColumn("upto", run).join(bound.drop("prefix"), F.col("source").eqNullSafe(F.col("s")))
         sums = sums.withColumn("upto", F.col("upto") + F.col("under"))
         edge = sums.where((F.col("upto") > F.col("rest")) & (F.col("upto") - F.col("words") <= F.col("rest")))
-        edge = edge.select(F.col("source").alias("s"), "bucket", "words", (F.col("upto") - F.col("words")).alias("lower"))
-        state = (
-            state.drop("words").join(edge, F.col("source").eqNullSafe(F.col("s")), "left")
-            .select("source", "source_size", "target", "whole", "rest", F.coalesce("bucket", F.lit(-1)).alias("prefix"), F.coalesce("lower", "under").alias("under"), "words")
-        )
+        edge = edge.select(F.col("source").alias("s"), "bucket", F.col("words").alias("found"), (F.col("upto") - F.col("words")).alias("lower"))
+        state = state.join(edge, F.col("source").eqNullSafe(F.col("s")), "left").drop("s", "words")
+        state = state.withColumns({"prefix": F.coalesce("bucket", F.lit(-1)), "under": F.coalesce("lower", "under")}).withColumnRenamed("found", "words").drop("bucket", "lower")
         state = materialize(state, "targets")
-    nearer = F.col("words") - (F.col("rest") - F.col("under")) < F.col("rest") - F.col("under")
-    below = F.when(F.col("words").isNull(), F.lit(0)).otherwise(F.col("prefix") + nearer.cast("long")).cast("long")
-    return materialize(state.select("source", "source_size", "target", "whole", below.alias("below")), "targets")
+    return state
 
 
-def _taken(sized: DataFrame, found: DataFrame) -> DataFrame:
-    """Adaptive execution broadcasts `found` only if it is small; otherwise it splits the hot source's rows."""
-    joined = sized.join(found.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
-    return joined.withColumn("copies", F.col("whole") + (F.col("h") < F.col("below")).cast("long"))
+def _nearer() -> Column:
+    """Whether the rest is met more nearly with the words at the edge than without."""
+    return F.col("words") - (F.col("rest") - F.col("under")) < F.col("rest") - F.col("under")
+
+
+def thresholds(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
+    """source, source_size, target, whole (copies of every document), edge (hashes below it get one more); and of the rows
+    at the edge: rest, under (the words before them), words (theirs)."""
+    size = F.col("source_size")
+    whole = F.when(size > 0, F.floor(F.col("target") / size)).otherwise(F.lit(0)).cast("long")
+    state = source_targets(sized, weights, share, most).withColumn("whole", whole)
+    state = state.withColumn("rest", F.col("target") - F.col("whole") * size)
+    state = materialize(state.withColumns({"prefix": F.lit(0).cast("long"), "under": F.lit(0).cast("long")}), "targets")
+    return _refined(sized, state, LEVELS).withColumnRenamed("prefix", "edge")
+
+
+def twin_cuts(at_edge: DataFrame, state: DataFrame) -> DataFrame:
+    """s (source), cut: of the rows at the edge (source, size, h: of the row's number) those with h below the cut get one more.
+
+    Mostly there is one row for a source, and the histograms are only made for the others.
+    """
+    groups = at_edge.groupBy("source").agg(F.count("*").alias("n")).withColumnRenamed("source", "s")
+    state = state.where("words is not null").join(groups, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    state = materialize(state.withColumn("prefix", F.lit(0).cast("long")), "targets")
+    all_ones = F.lit(1 << (TWIN_LEVELS * BITS)).cast("long")
+    one = state.where("n = 1").select(F.col("source").alias("s"), F.when(_nearer(), all_ones).otherwise(F.lit(0).cast("long")).alias("cut"))
+    many = state.where("n > 1").drop("n")
+    if many.isEmpty():
+        return one
+    cut = F.when(F.col("words").isNull(), all_ones).otherwise(F.col("prefix") + _nearer().cast("long"))
+    return one.union(_refined(at_edge, many, TWIN_LEVELS).select(F.col("source").alias("s"), cut.alias("cut")))
 
 
 def mix_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
+    """Adaptive execution broadcasts the thresholds only if they are small; otherwise it splits the hot source's rows."""
     sized = materialize(_sized(docs, id_col, text_col, source_col), "sized")
-    return _taken(sized, thresholds(sized, **how)).select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
-    )
+    state = thresholds(sized, **how)
+    edge = state.select(F.col("source").alias("s"), "edge")
+    at = sized.where("size > 0").join(edge, F.col("source").eqNullSafe(F.col("s")) & (F.col("h") == F.col("edge")))
+    cuts = twin_cuts(materialize(at.select("source", "size", _row_hash(F.col("row")).alias("h")), "edge"), state)
+    found = materialize(state.join(cuts, F.col("source").eqNullSafe(F.col("s")), "left").drop("s").withColumnRenamed("source", "s"), "targets")
+    joined = sized.join(found, F.col("source").eqNullSafe(F.col("s")), "left")
+    extra = (F.col("h") < F.col("edge")) | ((F.col("h") == F.col("edge")) & (_row_hash(F.col("row")) < F.col("cut")))
+    copies = F.col("whole") + F.coalesce(extra, F.lit(False)).cast("long")
+    return joined.select("doc_id", "size", "source_size", "target", (F.col("size") * copies).alias("taken"))
 
 
 def mix_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
-    """The mix itself: each row of docs as often as it is taken."""
-    found = thresholds(materialize(_sized(docs, id_col, text_col, source_col).drop("doc_id"), "sized"), **how)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    mark = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), text).cast("binary"))
-    h = F.conv(F.substring(mark, 1, LEVELS * BITS // 4), 16, 10).cast("long")
-    bound = found.select(F.col("source").alias("__s"), F.col("whole").alias("__whole"), F.col("below").alias("__below"))
-    joined = docs.join(bound, F.col(source_col).cast("string").eqNullSafe(F.col("__s")))
-    copies = (F.col("__whole") + (h < F.col("__below")).cast("long")).cast("int")
-    return joined.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), copies))).select(*docs.columns)
+    """The mix itself: each row of docs as often as it is taken.
+
+    Rows at an edge (one for a source, or one group of equal rows) are staged with numbers, so that equal ones can be told
+    apart.
+    """
+    s, whole, edge, h, row, copies = free_names(docs, "s", "whole", "edge", "h", "row", "copies")
+    state = thresholds(materialize(_sized(docs, id_col, text_col, source_col).drop("doc_id", "row"), "sized"), **how)
+    source = F.col(source_col).cast("string")
+    bound = state.select(F.col("source").alias(s), F.col("whole").alias(whole), F.col("edge").alias(edge))
+    joined = docs.withColumn(h, _hash(id_col, text_col)).join(bound, source.eqNullSafe(F.col(s))).drop(s)
+    away = joined.where(F.col(h) != F.col(edge)).withColumn(copies, F.col(whole) + (F.col(h) < F.col(edge)).cast("long"))
+    at = materialize(joined.where(F.col(h) == F.col(edge)).withColumn(row, F.monotonically_increasing_id()), "edge")
+    at_edge = at.select(source.alias("source"), _size(text_col).alias("size"), _row_hash(F.col(row)).alias("h")).where("size > 0")
+    cuts = materialize(twin_cuts(at_edge, state), "targets").select(F.col("s").alias(s), F.col("cut").alias(h))
+    at = at.drop(h).join(cuts, source.eqNullSafe(F.col(s)), "left")
+    at = at.withColumn(copies, F.col(whole) + F.coalesce(_row_hash(F.col(row)) < F.col(h), F.lit(False)).cast("long"))
+    kept = [F.col(f"`{c}`") for c in docs.columns]
+    out = away.select(*kept, copies).union(at.select(*kept, copies))
+    return out.withColumn(copies, F.explode(F.array_repeat(F.lit(1), F.col(copies).cast("int")))).select(*kept)
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,7 +176,7 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP6_SQL = f"""
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), {WORD_SQL})) AS BIGINT) AS size,
-         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 10) AS BIGINT) AS h
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15) AS BIGINT) AS h
   FROM documents),
 sources AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
 ranked AS (
@@ -142,14 +196,16 @@ targets AS (
 whole AS (
   SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole FROM targets),
 rests AS (SELECT *, target - whole * source_size AS rest FROM whole),
-hashes AS (SELECT source, h, sum(size) AS words FROM sized WHERE size > 0 GROUP BY source, h),
-runs AS (SELECT source, h, words, sum(words) OVER (PARTITION BY source ORDER BY h) AS upto FROM hashes),
+runs AS (
+  SELECT *, row_number() OVER (ORDER BY source, h) AS rid FROM sized),
+upto AS (
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY h, rid ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM runs WHERE size > 0),
 edges AS (
-  SELECT r.source, r.h + CASE WHEN r.upto - t.rest < t.rest - (r.upto - r.words) THEN 1 ELSE 0 END AS below
-  FROM runs r JOIN rests t ON r.source IS NOT DISTINCT FROM t.source
-  WHERE r.upto > t.rest AND r.upto - r.words <= t.rest)
+  SELECT r.source, r.h, r.rid + CASE WHEN r.upto - t.rest < t.rest - (r.upto - r.size) THEN 1 ELSE 0 END AS below
+  FROM upto r JOIN rests t ON r.source IS NOT DISTINCT FROM t.source
+  WHERE r.upto > t.rest AND r.upto - r.size <= t.rest)
 SELECT s.doc_id, s.size, t.source_size, t.target,
-       CAST(s.size * (t.whole + CASE WHEN s.h < coalesce(e.below, 0) THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM sized s JOIN rests t ON s.source IS NOT DISTINCT FROM t.source
+       CAST(s.size * (t.whole + CASE WHEN s.h < e.h OR (s.h = e.h AND s.rid < e.below) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM runs s JOIN rests t ON s.source IS NOT DISTINCT FROM t.source
 LEFT JOIN edges e ON s.source IS NOT DISTINCT FROM e.source
 """
