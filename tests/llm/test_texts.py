@@ -213,6 +213,35 @@ def test_language_model_frame(spark):
     assert held and sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_scores_equal_brute_force_end_to_end(spark, monkeypatch):
+    """Every path of states, with the trained parameters and the corpus counts taken anew."""
+    models, train = [], H.train_model
+    monkeypatch.setattr(H, "train_model", lambda *a, **k: models.append(train(*a, **k)) or models[-1])
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice(["a", "bb", "ccc", "Dddd", "e\u00e9"]) for _ in range(rng.randint(0, 6)))) for i in range(60)] + [(90, "never seen")]
+    got = {r.doc_id: r for r in H.score_texts(docs(spark, rows).repartition(3), states=2).collect()}
+    fold = lambda t: [w for w in t.encode().lower().split()] + [b""]
+    counts = collections.Counter(w for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2 for w in fold(t))
+    cls = lambda w: H.word_class(w) if w else 0
+    size, kinds = collections.Counter(), collections.Counter()
+    for w, c in counts.items():
+        size[cls(w)] += c
+        kinds[cls(w)] += 1
+    for i, t in rows:
+        words = fold(t)
+        share = sum(math.log10((counts[w] + 1) / (size[cls(w)] + kinds[cls(w)] + 1)) for w in words if w)
+        assert got[i].score == pytest.approx(brute_likelihood(models[0], [cls(w) for w in words]) + share, abs=1e-9)
+
+
+def test_words_of_a_bucket_are_summed_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(H, "BLOCK_TOKENS", 50)
+    monkeypatch.setattr(H, "TOTAL_WORDS", 3)
+    rows = [(i, " ".join(f"w{(i * j) % 37}" for j in range(20))) for i in range(60)]
+    got = {r.doc_id: r.base_score for r in H.score_texts(docs(spark, rows).coalesce(1)).collect()}
+    monkeypatch.undo()
+    assert got == pytest.approx({r.doc_id: r.base_score for r in H.score_texts(docs(spark, rows)).collect()})
+
+
 def test_language_model_of_nothing(spark):
     assert H.score_texts(docs(spark, []).limit(0)).count() == 0
     only_held = [(i, "a b") for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2][:2]

@@ -8,13 +8,16 @@ words: P(token | state) = P(class | state) * (c + 1) / (N_k + V_k + 1). So the s
 One pass tokenises all texts into blocks of about BLOCK_TOKENS tokens and stages them: for each text its words as
 numbers of the block's dictionary, and for each block the classes of its training texts and its dictionary with
 training counts, dealt to buckets by a hash of the word and packed. A word is there once for each block, so no word is
-hot and no text is exploded. Each bucket adds up its words over all blocks and answers every block with the corpus counts of its words;
-the answers then meet the texts by block. Totals of at most CLASSES rows come to the driver.
+hot and no text is exploded. Each bucket adds up its words over all blocks, which pass by one at a time, so a task holds
+the distinct words of one bucket (at most BUCKETS of them: some 100,000 words each at 100 TB). A second pass answers
+every block with the corpus counts of its words; the answers then meet the texts by block. Totals of at most CLASSES
+rows come to the driver.
 
 Each Baum-Welch round reads the staged classes of all training texts, every task adds up its expected counts, and their
-sums (as whole numbers, so the order of adding doesn't matter) give the next parameters. All ROUNDS rounds do so,
-whatever the size. They start from the class totals of all training texts, each class dealt to the states in seeded
-random shares: shares by text or position would even out as the corpus grows, and the states would start alike.
+sums (whole numbers, added as decimals, so neither the order of adding nor the size matters) give the next parameters. All
+ROUNDS rounds do so, whatever the size. They start from the class totals of all training texts, each class dealt to the
+states in seeded random shares (raised to SHARPNESS, so that states differ enough to part in few rounds): shares by text
+or position would even out as the corpus grows, and the states would start alike.
 
 The forward recursion is exact for texts of any length: a task's texts form one stream that restarts after each end
 token; it is cut into equal pieces whose transfer matrices are computed side by side, chained, and then filled in.
@@ -27,6 +30,7 @@ columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -42,8 +46,11 @@ from wordloom.llm.common import doc_hash_mod, materialize, read_table, scratch_p
 
 STATES = 6
 CLASSES = 4096
-ROUNDS = 22
+ROUNDS = 7
+SHARPNESS = 3
 BLOCK_TOKENS = 500_000
+BUCKETS = 4096
+TOTAL_WORDS = 65_536
 STREAM_TOKENS = 1_000_000
 SIDE_TOKENS = 2048
 FOLDS, HELD_OUT = 7, 2
@@ -280,7 +287,7 @@ def stage_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType
-    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(BUCKETS, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     picked = docs.select(
         F.col(id_col).alias("doc_id"), (doc_hash_mod(F.col(id_col), FOLDS) == HELD_OUT).alias("held_out"), F.col(text_col).cast("string").alias("text")
     )
@@ -353,40 +360,89 @@ def stage_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return texts, stored[1].select("block", "bucket", "words", "counts"), stored[2].select(F.col("c").alias("cls"))
 
 
-def count_words(dictionaries: DataFrame) -> DataFrame:
-    """Corpus counts, brought back to the blocks: block, bucket, counts, cls; and rows of block -1 with class totals.
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[dict]]]:
+    """Rows sorted by bucket, a bucket at a time and a row at a time."""
 
-    A bucket holds every word with its hash from all blocks, each block's once and packed, so the rows of a task follow
-    the number of distinct words and no word is hot. Class totals are at most CLASSES short rows of each bucket.
+    def rows():
+        for b in batches:
+            for i, bucket in enumerate(b.column("bucket").to_pylist()):
+                yield bucket, {n: c[i].as_py() for n, c in zip(b.schema.names, b.columns, strict=True)}
+
+    for bucket, held in itertools.groupby(rows(), key=lambda r: r[0]):
+        yield bucket, (r for _, r in held)
+
+
+def _unpacked(words: bytes) -> list[bytes]:
+    return zstandard.ZstdDecompressor().decompress(words).split(b"\n")
+
+
+def sum_words(dictionaries: DataFrame) -> DataFrame:
+    """Corpus counts of each bucket's words: bucket, words, counts (packed, at most TOTAL_WORDS a row); and rows without words
+    that have a bucket's class totals: bucket (the class), tokens, known.
+
+    A task holds the distinct words of one bucket; the parts of the blocks pass by.
     """
 
-    def count(table: pa.Table) -> pa.Table:
-        numbers, found = Numbers(), []
-        unpack = zstandard.ZstdDecompressor()
-        for words, counts in zip(table.column("words"), table.column("counts"), strict=True):
-            split = unpack.decompress(words.as_py()).split(b"\n")
-            found.append((np.fromiter(map(numbers.__getitem__, split), np.int64, len(split)), _open(counts.as_py(), "<i4")))
-        total = np.zeros(len(numbers), np.int64)
-        for at, n in found:
-            total[at] += n
-        cls = np.array([word_class(w) if w else 0 for w in numbers], "<u2")
-        seen = total > 0
-        tokens, known = np.bincount(cls, weights=total).astype(np.int64), np.bincount(cls[seen], minlength=int(cls.max()) + 1)
-        has = np.flatnonzero(tokens)
-        k, m = len(found), len(has)
-        return pa.table(
-            {
-                "block": pa.concat_arrays([table.column("block").combine_chunks(), pa.array(np.full(m, -1))]),
-                "bucket": pa.concat_arrays([table.column("bucket").combine_chunks(), pa.array(has.astype(np.int32))]),
-                "counts": pa.array([_shut(total[at].astype("<i8")) for at, _ in found] + [None] * m, pa.binary()),
-                "cls": pa.array([_shut(cls[at]) for at, _ in found] + [None] * m, pa.binary()),
-                "tokens": pa.concat_arrays([pa.nulls(k, pa.int64()), pa.array(tokens[has])]),
-                "known": pa.concat_arrays([pa.nulls(k, pa.int64()), pa.array(known[has].astype(np.int64))]),
-            }
-        )
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, rows in _by_bucket(batches):
+            numbers, total = Numbers(), np.zeros(1024, np.int64)
+            for r in rows:
+                split = _unpacked(r["words"])
+                at = np.fromiter(map(numbers.__getitem__, split), np.int64, len(split))
+                if len(numbers) > len(total):
+                    total = np.concatenate([total, np.zeros(len(numbers), np.int64)])
+                total[at] += _open(r["counts"], "<i4")
+            total, words = total[: len(numbers)], list(numbers)
+            cls = np.array([word_class(w) if w else 0 for w in words], np.int64)
+            tokens, known = np.bincount(cls, weights=total).astype(np.int64), np.bincount(cls[total > 0], minlength=int(cls.max()) + 1)
+            has, packer = np.flatnonzero(tokens), zstandard.ZstdCompressor(level=1)
+            cuts = range(0, len(words), TOTAL_WORDS)
+            k, m = len(cuts), len(has)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate([np.full(k, bucket), has]).astype(np.int32)),
+                    pa.array([packer.compress(b"\n".join(words[i : i + TOTAL_WORDS])) for i in cuts] + [None] * m, pa.binary()),
+                    pa.array([_shut(total[i : i + TOTAL_WORDS].astype("<i8")) for i in cuts] + [None] * m, pa.binary()),
+                    pa.array([None] * k + tokens[has].tolist(), pa.int64()),
+                    pa.array([None] * k + known[has].tolist(), pa.int64()),
+                ],
+                ["bucket", "words", "counts", "tokens", "known"],
+            )
+
+    ordered = _dealt(dictionaries.select("bucket", "words", "counts"), "bucket")
+    return materialize(ordered.mapInArrow(add_up, "bucket int, words binary, counts binary, tokens long, known long"), "totals")
+
+
+def _dealt(rows: DataFrame, *order: str) -> DataFrame:
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(n, "bucket").sortWithinPartitions(*order)
+
+
+def count_words(dictionaries: DataFrame, totals: DataFrame) -> DataFrame:
+    """The corpus counts of each block's words: block, bucket, counts, cls. A bucket's totals come first, then its blocks."""
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, rows in _by_bucket(batches):
+            counts: dict[bytes, int] = {}
+            found = []
+            for r in rows:
+                split = _unpacked(r["words"])
+                if r["block"] < 0:
+                    counts.update(zip(split, _open(r["counts"], "<i8").tolist(), strict=True))
+                    continue
+                count = np.fromiter(map(counts.__getitem__, split), "<i8", len(split))
+                cls = np.fromiter((word_class(w) if w else 0 for w in split), "<u2", len(split))
+                found.append((r["block"], bucket, _shut(count), _shut(cls)))
+                if len(found) == 256:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*found, strict=True), kinds, strict=True)], names)
+                    found = []
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*found, strict=True), kinds, strict=True)], names)
 
-    schema = "block long, bucket int, counts binary, cls binary, tokens long, known long"
-    return materialize(dictionaries.groupBy("bucket").applyInArrow(count, schema), "counts")
+    names, kinds = ["block", "bucket", "counts", "cls"], [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+    known = totals.where("words is not null").select(F.lit(-1).cast("long").alias("block"), "bucket", "words", "counts")
+    both = _dealt(known.union(dictionaries.select("block", "bucket", "words", "counts")), "bucket", "block")
+    return both.mapInArrow(answer, "block long, bucket int, counts binary, cls binary")
 
 
 def _pack(start: np.ndarray, step: np.ndarray, emit: np.ndarray) -> np.ndarray:
@@ -400,7 +456,7 @@ def _unpack(flat: np.ndarray, states: int, classes: int) -> Model:
 
 def first_model(tokens: np.ndarray, states: int, seed: int = 7) -> Model:
     """From class totals: emissions dealt to the states in random shares, and steps that mostly stay."""
-    share = np.random.default_rng(seed).exponential(size=(states, len(tokens)))
+    share = np.random.default_rng(seed).exponential(size=(states, len(tokens))) ** SHARPNESS
     n = tokens.sum() / states
     return from_counts(np.zeros(states), np.full((states, states), 0.02 * n / states) + np.eye(states) * n, tokens * share / share.sum(0))
 
@@ -424,10 +480,10 @@ def train_model(training: DataFrame, tokens: np.ndarray, states: int = STATES, r
                 at = np.flatnonzero(whole)
                 yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(whole[at])], ["k", "v"])
 
-        sums = training.mapInArrow(count, "k long, v long").groupBy("k").agg(F.sum("v").alias("v")).collect()
+        sums = training.mapInArrow(count, "k long, v long").groupBy("k").agg(F.sum(F.col("v").cast("decimal(28,0)")).alias("v")).collect()
         flat = np.zeros(states + states * states + states * classes)
         for r in sums:
-            flat[r["k"]] = r["v"] / UNIT
+            flat[r["k"]] = int(r["v"]) / UNIT
         model = _unpack(flat, states, classes)
         sent.unpersist()
     return model
@@ -436,8 +492,8 @@ def train_model(training: DataFrame, tokens: np.ndarray, states: int = STATES, r
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, classes: int = CLASSES) -> DataFrame:
     spark = docs.sparkSession
     texts, dictionaries, training = stage_texts(docs, id_col, text_col)
-    counts = count_words(dictionaries)
-    by_class = counts.where("block = -1").groupBy("bucket").agg(F.sum("tokens").alias("n"), F.sum("known").alias("v")).collect()
+    totals = sum_words(dictionaries)
+    by_class = totals.where("words is null").groupBy("bucket").agg(F.sum("tokens").alias("n"), F.sum("known").alias("v")).collect()
     tokens, known = np.zeros(classes), np.zeros(classes)
     for r in by_class:
         tokens[r["bucket"]], known[r["bucket"]] = r["n"], r["v"]
@@ -469,7 +525,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             }
         )
 
-    found = counts.where("block >= 0").select("block", "bucket", "counts", "cls")
+    found = count_words(dictionaries, totals)
     met = texts.select("block", "doc_id", "held_out", "loc").groupBy("block").cogroup(found.groupBy("block"))
     kind = docs.schema[id_col].dataType.simpleString()
     out = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
