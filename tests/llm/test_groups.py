@@ -86,8 +86,8 @@ def test_simhash_frames(spark):
 # --- op8
 
 
-@pytest.mark.parametrize("block,run", [(1024, 32), (7, 2)])
-def test_embedding_links_equal_brute_force(spark, block, run):
+@pytest.mark.parametrize("block,run,span", [(1024, 16, 64), (7, 2, 2)])
+def test_embedding_links_equal_brute_force(spark, block, run, span):
     rng = np.random.default_rng(8)
     centres = rng.normal(size=(12, 16))
     v = np.concatenate([c + rng.normal(scale=0.09, size=(9, 16)) for c in centres]).astype(np.float32)
@@ -96,7 +96,7 @@ def test_embedding_links_equal_brute_force(spark, block, run):
     rows = [(i, [float(x) for x in y], int(c)) for i, (y, c) in enumerate(zip(v, label, strict=True))]
     odd = [(1000, None, 1), (1001, [0.0] * 16, 1), (1002, [float("nan")] * 16, 1), (1003, rows[0][1], None), (1004, [], 0), (1005, [None] * 16, 0), (1006, [1.0, 2.0], 0)]
     df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>, label int")
-    got = {r.vec_id: r for r in M.embedding_components(df, block=block, run=run).collect()}
+    got = {r.vec_id: r for r in M.embedding_components(df, block=block, run=run, span=span).collect()}
     u = v.astype(np.float64)
     u /= np.linalg.norm(u, axis=1, keepdims=True)
     links = (u @ u.T >= 0.98) & (label[:, None] == label[None])
@@ -108,6 +108,27 @@ def test_embedding_links_equal_brute_force(spark, block, run):
     assert M.embedding_components(df.limit(0)).count() == M.embedding_components(df.where("vec_id = 1001")).count() - 1 == 0
 
 
+def test_embedding_ties_and_repeated_ids(spark):
+    cos = 0.98
+    a, b, below = [1.0, 0.0, 0.0], [0.98, 0.19899748742132398, 0.0], [0.9799999, 0.19899797986, 0.0]
+    rows = [(1, a, 0), (2, b, 0), (3, below, 1), (4, a, 1), (4, a, 1), (4, [0.0, 0.0, 1.0], 1)]
+    got = M.embedding_components(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    tied = M.exact_cosine(np.array(a), np.array(b)) >= cos
+    by = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in got)
+    want = [(1, int(tied), 1, True), (2, int(tied), 1 if tied else 2, not tied), (3, 0, 3, True), (4, 0, 4, True), (4, 1, 4, True), (4, 1, 4, True)]
+    assert by == sorted(want)
+
+
+def test_intervals_over_eps_apart_hold_no_links():
+    rng = np.random.default_rng(3)
+    u = M.unit(rng.normal(size=(3000, 6)))
+    u = u[np.lexsort(np.floor(u[:, ::-1] / 0.2).T)]
+    got = M.interval_links(u, u[:, :3], u, u[:, :3], True, 0.98, 0.2 + 1e-9)
+    want = np.nonzero(np.triu(u @ u.T >= 0.98, 1))
+    assert set(zip(*got)) == set(zip(*want))
+    assert M.apart(np.array([[0.0, 0.0]]), np.array([[0.15, 0.15]]), 0.2) and not M.apart(np.array([[0.0, 0.0]]), np.array([[0.15, 0.1]]), 0.2)
+
+
 # --- op6
 
 
