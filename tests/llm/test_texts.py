@@ -88,6 +88,21 @@ def test_line_rules():
     assert assess_text("short")[5] and assess_text(None)[:6] == (0, 0, 0, 0, 0, True)
 
 
+def test_lines_from_outside_the_tables():
+    prose = "\n".join(f"Sentence {i} of the report says, among much else, that {i} things went well." for i in range(20))
+    menu = "Home\nAbout us\n\nOur products\nNews\nContact\nJobs"
+    clean = lambda t: assess_text(t)[8]
+    assert clean(f"{menu}\n{prose}") == "\n" + prose
+    for short in ("Home\nAbout us\nNews\nContact", "One:\nTwo.\nThree!\n\"Four\"\n(Five)\nSix;", "A heading\n" + prose + "\nAnother heading"):
+        assert clean(short) == short
+    assert clean(f"{prose}\nhttps://example.org/a WWW.example.org see") == prose and clean("see www.example.org for more of it") == "see www.example.org for more of it"
+    for line in ("Skip to content", "This site uses cookies, as most do.", "Home > Products > Chairs > Red > Large", "### $$$ ***"):
+        assert clean(f"{line}\n{prose}") == prose
+    verse = "\n".join(f"line {i} goes on," for i in range(30))
+    assert not assess_text(verse)[6]  # short lines that no sentence ends; the price of the menu rule
+    assert clean(prose + "\n中文句子在这里。\n好的！") == prose + "\n中文句子在这里。\n好的！"
+
+
 def test_quality_frames(spark):
     text = " ".join(f"w{i}" for i in range(80))
     df = docs(spark, [(1, text), (1, text), (None, None), (2, ""), (3, LONG)])

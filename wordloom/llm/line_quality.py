@@ -4,6 +4,9 @@ A line of n words (n > 0) fails on the first rule that holds:
   symbols     at least 3 characters of [#*$%&|<>], and one for every two words or more
   shouting    at least 4 words that end in "!", and half of the words or more
   navigation  at least 3 words that are only a separator (| / > - or a bullet), and a sixth of the words or more
+  links       a word that begins like an address (http://, https://, www.), and half of the words or more
+  menu        at most 4 words without a mark of ENDS at the end, in a run of 5 such lines or more (lines without words
+              aside): a list of places to go and no text
   repetition  10 words or more, of which at most a third are distinct
   boilerplate 20 words or fewer, and a phrase of BOILERPLATE in the line with A-Z lower-cased
   repeated    3 words or more, equal to an earlier line of the text
@@ -34,15 +37,21 @@ SEPARATORS = ("|", "/", ">", "-", "•", "·", "»", "›")
 BOILERPLATE = (
     "all rights reserved", "licensed under", "released under", "terms of use", "terms of service", "privacy policy",
     "accept cookies", "uses cookies", "enable javascript", "subscribe to our newsletter", "alle rechte vorbehalten",
-    "tous droits r", "todos los derechos reservados", "lorem ipsum",
+    "tous droits r", "todos los derechos reservados", "lorem ipsum", "skip to content", "back to top", "share this article", "cookie policy",
+    "sign up for our",
 )
+#: What ends a sentence, a quotation or an introduction.
+ENDS = (".", "!", "?", ":", ";", "…", '"', "'", ")", "]", "。", "！", "？", "；", "：", "”", "’", "»")
+MENU_WORDS, MENU_LINES = 4, 5
+_ENDS = tuple(e.encode() for e in ENDS)
+_ADDRESS = (b"http://", b"https://", b"www.")
 _SEPARATORS = frozenset(s.encode() for s in SEPARATORS)
 _BOILERPLATE = tuple(p.encode() for p in BOILERPLATE)
 _BLANKS = " \t\n\r\x0b\x0c"
 
 
 def line_fails(line: bytes, words: list[bytes]) -> bool:
-    """Whether a line with these words fails by itself; the rule on repeated lines needs the text."""
+    """Whether a line with these words fails by itself; the rules on repeated lines and menus need the text."""
     n = len(words)
     symbols = len(line) - len(line.translate(None, SYMBOLS))
     if symbols >= 3 and 2 * symbols >= n:
@@ -51,6 +60,9 @@ def line_fails(line: bytes, words: list[bytes]) -> bool:
         shouted = sum(w.endswith(b"!") for w in words)
         if shouted >= 4 and 2 * shouted >= n:
             return True
+    if b"://" in line or b"ww." in line.lower():
+        if 2 * sum(w.lower().startswith(_ADDRESS) for w in words) >= n:
+            return True
     bars = sum(map(_SEPARATORS.__contains__, words))
     if bars >= 3 and 6 * bars >= n:
         return True
@@ -80,18 +92,27 @@ def assess_text(text: str | None, max_lost_pct: int = MAX_LOST_PCT) -> tuple:
     text = text or ""
     raw = text.encode()
     seen: set[bytes] = set()
-    stays, everything, dups, lost = [], [], 0, 0
+    lines, everything, dups, run = [], [], 0, []
     for line in raw.split(b"\n"):
         words = line.split()
         everything += words
+        fails = False
         if words:
             again = line in seen
             seen.add(line)
             dups += again
-            if (again and len(words) >= 3) or line_fails(line, words):
-                lost += len(words)
-                continue
-        stays.append(line)
+            fails = (again and len(words) >= 3) or line_fails(line, words)
+            if len(words) > MENU_WORDS or words[-1].endswith(_ENDS):
+                run = []
+            else:
+                run.append(len(lines))
+                if len(run) == MENU_LINES:
+                    for i in run[:-1]:
+                        lines[i][2] = True
+                fails = fails or len(run) >= MENU_LINES
+        lines.append([line, len(words), fails])
+    lost = sum(k for _, k, fails in lines if fails)
+    stays = [line for line, _, fails in lines if not fails]
     n = len(everything)
     chars = len(text) - sum(map(text.count, _BLANKS))
     symbols = len(raw) - len(raw.translate(None, SYMBOLS))
@@ -157,13 +178,17 @@ judged AS (
   SELECT rid, line, pos, ws, len(ws) AS n, length(line) - length(translate(line, '#*$%&|<>', '')) AS sym,
          len(list_filter(ws, lambda w: suffix(w, '!'))) AS bang,
          len(list_filter(ws, lambda w: w IN ({", ".join(f"'{s}'" for s in SEPARATORS)}))) AS bars,
-         len(list_distinct(ws)) AS uniq, row_number() OVER (PARTITION BY rid, line ORDER BY pos) > 1 AS again
+         len(list_distinct(ws)) AS uniq, len(list_filter(ws, lambda w: regexp_matches(w, '^(?i:https?://|www\\.)'))) AS urls, row_number() OVER (PARTITION BY rid, line ORDER BY pos) > 1 AS again
   FROM split WHERE len(ws) > 0),
+marked AS (
+  SELECT *, n <= {MENU_WORDS} AND right(ws[n], 1) NOT IN ({", ".join("'" + e.replace("'", "''") + "'" for e in ENDS)}) AS open FROM judged),
+islands AS (SELECT *, sum(CASE WHEN open THEN 0 ELSE 1 END) OVER (PARTITION BY rid ORDER BY pos) AS island FROM marked),
+menus AS (SELECT *, open AND sum(CASE WHEN open THEN 1 ELSE 0 END) OVER (PARTITION BY rid, island) >= {MENU_LINES} AS menu FROM islands),
 failed AS (
-  SELECT rid, n, again, (again AND n >= 3) OR (sym >= 3 AND 2 * sym >= n) OR (bang >= 4 AND 2 * bang >= n)
+  SELECT rid, n, again, menu OR (urls >= 1 AND 2 * urls >= n) OR (again AND n >= 3) OR (sym >= 3 AND 2 * sym >= n) OR (bang >= 4 AND 2 * bang >= n)
     OR (bars >= 3 AND 6 * bars >= n) OR (n >= 10 AND 3 * uniq <= n)
     OR (n <= 20 AND {_any_phrase(_ASCII_LOWER.format("line"))}) AS fails
-  FROM judged),
+  FROM menus),
 by_line AS (
   SELECT rid, sum(n) AS n_words, count(*) FILTER (again) AS n_dup_lines, coalesce(sum(n) FILTER (fails), 0) AS n_lost_words
   FROM failed GROUP BY rid),
