@@ -11,14 +11,18 @@ are revisits that refer to it and carry only the HTTP head; the group's largest
 digest, so a hot payload never meets in one task.
 
 Archives are written by the tasks through a file-system interface that takes local and remote paths, under names that
-depend on the partition alone and with the rows sorted, so a repeated attempt writes the same archives again. An
-archive is closed at `archive_bytes` of uncompressed records, which bounds what the reader holds in memory to one
-archive (a single longer record is still one archive). The dictionary is trained on a bounded sample (DICT_PAGES pages
-of at most DICT_PAGE_BYTES bytes); archives without one are written and read too.
+depend on the partition alone and with the rows sorted, so a repeated attempt writes the same archives again. They are
+written record by record; an archive is closed at `archive_bytes` of uncompressed records (a single longer record is
+still one archive). The reader holds one archive as it is stored, and some megabytes of decoded records. The dictionary is
+trained on a bounded sample (the DICT_PAGES pages of at most DICT_PAGE_BYTES bytes with the smallest hashes); archives
+without one are written and read too.
+
+Whether a row is a revisit is known only after all digests are, so the html goes through one shuffle by digest, unless
+the table of repeated digests is small enough for adaptive execution to broadcast.
 
 Defined results: a null html is an empty payload; a null page_id writes a record whose id comes from its content, reads
 back as null and never is referred to; rows that tie on the largest page_id of a group are all responses; repeated rows
-give a record each; control characters and spaces in urls are percent-encoded in the header; extra columns are
+give a record each (responses equal in page_id and payload share a record id); control characters and spaces in urls are percent-encoded in the header; extra columns are
 ignored; an empty table gives an empty result.
 """
 
@@ -39,14 +43,15 @@ from pyspark.sql import functions as F
 from wordloom.llm.common import materialize, read_table, scratch_path
 
 MIN_BYTES = 1000
-ARCHIVE_BYTES = 4 << 20
+ARCHIVE_BYTES = 256 << 20
+BATCH_BYTES, BATCH_RECORDS = 8 << 20, 1000
 DICT_PAGES, DICT_PAGE_BYTES, DICT_SIZE = 400, 32_768, 65_536
 DATE = "2024-01-01T00:00:00Z"
 #: Fixed values of the formats.
 SKIPPABLE = b"\x5d\x2a\x4d\x18"
 ZSTD_MAGIC = b"\x28\xb5\x2f\xfd"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-_ID = re.compile(r"<urn:page:(-?\d+)>")
+_ID = re.compile(r"<urn:page:(-?\d+)(?::[0-9a-z:-]+)?>")
 _UNSAFE = re.compile(r"[\x00-\x20\x7f]")
 
 
@@ -65,24 +70,27 @@ def _hex(labelled: str) -> str:
     return base64.b32decode(value).hex()
 
 
-def record_id(page_id: int | None, digest: str, url: str | None) -> str:
-    return f"<urn:page:{page_id}>" if page_id is not None else f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{digest} {url}')}>"
+def record_id(page_id: int | None, digest: str, url: str | None, place: str = "") -> str:
+    """Page, payload and, for records that none refers to, their place; so rows that share a page_id differ."""
+    if page_id is None:
+        return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{digest} {url} {place}')}>"
+    return f"<urn:page:{page_id}:{digest}{':' + place if place else ''}>"
 
 
-def make_record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None = None, date: str = DATE) -> bytes:
+def make_record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None = None, date: str = DATE, place: str = "") -> bytes:
     digest = hashlib.sha1(payload).hexdigest()
     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = head if refers_to is not None else head + payload
     fields = [
         ("WARC-Type", "revisit" if refers_to is not None else "response"),
-        ("WARC-Record-ID", record_id(page_id, digest, url)),
+        ("WARC-Record-ID", record_id(page_id, digest, url, place if refers_to is not None or page_id is None else "")),
         ("WARC-Date", date),
         ("WARC-Target-URI", _UNSAFE.sub(lambda m: f"%{ord(m[0]):02X}", url or "about:blank")),
         ("WARC-Payload-Digest", _b32(digest)),
         ("WARC-Block-Digest", _b32(hashlib.sha1(block).hexdigest())),
     ]
     if refers_to is not None:
-        fields += [("WARC-Refers-To", f"<urn:page:{refers_to}>"), ("WARC-Profile", REVISIT_PROFILE)]
+        fields += [("WARC-Refers-To", record_id(refers_to, digest, None)), ("WARC-Profile", REVISIT_PROFILE)]
     fields += [("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(block)))]
     return b"WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields).encode() + b"\r\n" + block + b"\r\n\r\n"
 
@@ -199,8 +207,10 @@ def read_archive(raw: bytes, on_error: str = "raise") -> Iterator[dict]:
                 return
 
 
-def train_dictionary(pages: DataFrame, html_col: str = "html") -> bytes:
-    sample = pages.select(F.col(html_col).cast("string").alias("h")).where(F.octet_length("h").between(64, DICT_PAGE_BYTES))
+def train_dictionary(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> bytes:
+    """From the DICT_PAGES pages with the smallest hashes of id, url and payload length, so reruns train on the same ones."""
+    sample = pages.select(F.xxhash64(F.col(id_col).cast("string"), F.col(url_col).cast("string"), F.octet_length(F.col(html_col).cast("string"))).alias("k"), F.col(html_col).cast("string").alias("h"))
+    sample = sample.where(F.octet_length("h").between(64, DICT_PAGE_BYTES)).orderBy("k", F.sha1(F.col("h").cast("binary")))
     texts = [r.h.encode() for r in sample.limit(DICT_PAGES).collect()]
     records = [make_record(i, "https://www.example.org/", t) for i, t in enumerate(texts)]
     try:
@@ -233,28 +243,27 @@ def write_archives(records: DataFrame, folder: str, dictionary: bytes = b"", arc
         store.create_dir(root, recursive=True)
         how = {"dict_data": zstandard.ZstdCompressionDict(dictionary)} if dictionary else {}
         packer = zstandard.ZstdCompressor(level=3, write_checksum=True, **how)
-        frames, size, count = [], 0, 0
-
-        def close() -> tuple[str, int, int]:
-            name = f"{root}/part-{at.partitionId():06d}-{count:05d}.warc.zst"
-            own = f"{root}/_{at.taskAttemptId()}-{count}"
-            body = lead + b"".join(frames)
-            with store.open_output_stream(own) as f:
-                f.write(body)
-            store.move(own, name)
-            return name, len(frames), len(body)
-
-        done = []
+        out, size, records, written, total, done = None, 0, 0, 0, 0, []
+
+        def close() -> None:
+            out.close()
+            name = f"{root}/part-{at.partitionId():06d}-{len(done):05d}.warc.zst"
+            store.move(f"{root}/_{at.taskAttemptId()}-{len(done)}", name)
+            done.append((name, records, written))
+
         for b in batches:
             for page_id, url, html, refers_to in zip(*b.columns, strict=True):
-                record = make_record(page_id.as_py(), url.as_py(), html.as_py().encode(), refers_to.as_py())
-                if frames and size + len(record) > archive_bytes:
-                    done.append(close())
-                    frames, size, count = [], 0, count + 1
-                frames.append(packer.compress(record))
-                size += len(record)
-        if frames:
-            done.append(close())
+                record = make_record(page_id.as_py(), url.as_py(), html.as_py().encode(), refers_to.as_py(), place=f"{at.partitionId()}-{total}")
+                if out is not None and size + len(record) > archive_bytes:
+                    close()
+                    out, size, records, written = None, 0, 0, 0
+                if out is None:
+                    out = store.open_output_stream(f"{root}/_{at.taskAttemptId()}-{len(done)}")
+                    written = out.write(lead)
+                written += out.write(packer.compress(record))
+                size, records, total = size + len(record), records + 1, total + 1
+        if out is not None:
+            close()
         paths, counts, sizes = zip(*done, strict=True) if done else ([], [], [])
         yield pa.RecordBatch.from_arrays(
             [pa.array(paths, pa.string()), pa.array(counts, pa.int64()), pa.array(sizes, pa.int64())], ["path", "records", "bytes"]
@@ -272,8 +281,14 @@ def read_archives(spark: SparkSession, path: str, on_error: str = "raise", paylo
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for where, content in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                rows, held = [], 0
                 try:
-                    rows = list(read_archive(content.as_py(), on_error))
+                    for r in read_archive(content.as_py(), on_error):
+                        rows.append(r)
+                        held += len(r["payload"] or b"")
+                        if held >= BATCH_BYTES or len(rows) >= BATCH_RECORDS:
+                            yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], k) for n, k in kinds.items()], names)
+                            rows, held = [], 0
                 except WarcError as e:
                     raise WarcError(f"{where}: {e}") from e
                 yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], k) for n, k in kinds.items()], names)
