@@ -3,7 +3,7 @@
 Before any text is read, each vocabulary string is merged alone; those that end as one token are proven whole. A text
 is cut where no merge can reach across: before a space that follows another character (no piece holds one inside), and
 around line ends (no piece of several characters holds one). Cuts that are whole tokens count one and are never
-merged; the rest are merged by score, leftmost first, and remembered for the task. The model is read on the driver and
+merged; the rest are merged by score, leftmost first, and remembered for the task, up to a number and a length. The model is read on the driver and
 broadcast; its size is that of the vocabulary file (under 1 MB for 32,000 pieces), not of the data.
 
 Defined results: null and empty texts have no bytes and no tokens; very long texts and words are merged in
@@ -26,6 +26,7 @@ from wordloom.llm.common import Remembered, give_back, read_table
 SPACE = "▁"
 LIMIT = 4096
 REMEMBERED = 200_000
+LONGEST_REMEMBERED = 64
 
 
 class PieceCounter:
@@ -42,7 +43,7 @@ class PieceCounter:
         self._ready()
 
     def _ready(self) -> None:
-        self.known = Remembered(self.merge, REMEMBERED)
+        self.known = Remembered(self.merge, REMEMBERED, LONGEST_REMEMBERED)
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k != "known"}
