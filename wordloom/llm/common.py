@@ -90,19 +90,19 @@ def id_hash(doc_id: int | None) -> int:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Only a local master, where all is one machine, may lack the setting."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    if not (spark.sparkContext.master or "").startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    own = spark.sparkContext.getCheckpointDir()
-    if own is None:
+    """The folder that driver and executors share, as a full address. Only a local master, where all is one machine, may
+    lack the setting."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        if not (spark.sparkContext.master or "").startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         import tempfile
 
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="wordloom-"))
-        own = spark.sparkContext.getCheckpointDir()
-    return own.rstrip("/")
+        found = spark.sparkContext.getCheckpointDir()
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(found)
+    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return str(store.makeQualified(where).toString()).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, what: str) -> str:
@@ -138,13 +138,17 @@ def materialize(df: DataFrame, what: str = "stage", compression: str = "snappy")
     return spark.read.schema(df.schema).parquet(path)
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
     """(u long, v long) links -> (node long, root long): each linked node with the smallest node it reaches.
 
     Alternates large-star and small-star steps; each step is two shuffles over the remaining links, and every
     round is a table in the shared folder. Minima are pre-aggregated before their shuffle and both sides of the
     join are plain tables, so a hub with very many links is split by adaptive execution. Nothing is collected but
-    one row of counters for each round.
+    one row of counters for each round. The rounds are known to grow with the square of the logarithm of the nodes at
+    most (in practice with the logarithm of the longest chain: 40 nodes take 5); 200 is beyond any real graph, and is
+    there so that a fault ends the job.
+
+    Defined results: null ends, links of a node to itself and repeated links are left out; no links give no rows.
     """
     pairs = (
         edges.where("u is not null and v is not null and u <> v")

@@ -8,8 +8,8 @@ pairs (12 MB at 20 bits), a bound that doesn't depend on the data. Errors on tox
 
 The classifier is fitted on a bounded sample of labelled rows: rows whose hash lies under MAX_TRAIN / (labelled rows),
 about MAX_TRAIN (8000) rows at any size of the corpus. The hash is of the id and drawn before labels and texts are
-joined. Training is one task over the sample in hash order, a few passes, so reruns give the same weights. Labels,
-lang, source and ids are never inputs of a score.
+joined. Texts become their coordinates where they are read; training is one task over those of the sample in hash order,
+a few passes, so reruns give the same weights. Labels, lang, source and ids are never inputs of a score.
 
 Defined results: null and empty texts score the prior; null ids are never trained on and count as held out by
 crc32 of the empty text (0); several labels of an id count as toxic if one is; without any labelled row the prior is
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import Remembered, doc_hash_mod, give_back, read_table
+from wordloom.llm.common import Remembered, doc_hash_mod, free_names, give_back, read_table
 
 BITS = 20
 MAX_TRAIN = 8000
@@ -43,6 +43,7 @@ _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x
 
 
 REMEMBERED = 100_000
+LONGEST_REMEMBERED = 64
 
 
 def word_hash(word: bytes, stem: int | None = None) -> int:
@@ -56,8 +57,8 @@ class Hasher:
     """The word and word-beginning hashes of a task."""
 
     def __init__(self):
-        self.words = Remembered(word_hash, REMEMBERED)
-        self.stems = Remembered(lambda w: word_hash(w, STEM), REMEMBERED)
+        self.words = Remembered(word_hash, REMEMBERED, LONGEST_REMEMBERED)
+        self.stems = Remembered(lambda w: word_hash(w, STEM), REMEMBERED, LONGEST_REMEMBERED)
 
 
 def features(text: str | None, hashes: Hasher, bits: int = BITS) -> np.ndarray:
@@ -105,21 +106,26 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "
     draw = (F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(rate * (1 << 30)))
     truth = usable.where(draw).groupBy("id").agg((F.max("toxic") > 0).cast("int").alias("y"))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("id is not null").where(draw)
-    sample = texts.join(truth, "id").select(F.xxhash64("id").alias("h"), "id", "text", "y")
+    sample = texts.join(truth, "id").select(F.xxhash64("id").alias("h"), F.col("id").cast("string").alias("id"), "text", "y")
 
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, rows = Hasher(), []
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = Hasher()
         for b in batches:
-            for text, y in zip(b.column(2), b.column(3).to_pylist(), strict=True):
-                rows.append((np.unique(features(text.as_py(), hashes)).astype(np.int32), y))
+            x = [np.unique(features(t.as_py(), hashes)).astype("<i4").tobytes() for t in b.column(2)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(x, pa.binary()), b.column(3)], ["h", "id", "x", "y"])
+        del hashes
+        give_back()
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [(np.frombuffer(x.as_py(), "<i4"), y) for b in batches for x, y in zip(b.column(2), b.column(3).to_pylist(), strict=True)]
         at, w, prior = train(rows)
-        del rows, hashes
+        del rows
         give_back()
         yield pa.RecordBatch.from_arrays(
             [pa.array([at.astype("<i4").tobytes()]), pa.array([w.astype("<f8").tobytes()]), pa.array([prior])], ["at", "w", "prior"]
         )
 
-    one = sample.repartition(1).sortWithinPartitions("h", "id", "text")
+    one = sample.mapInArrow(hashed, "h long, id string, x binary, y int").repartition(1).sortWithinPartitions("h", "id", "x")
     got = one.mapInArrow(learn, "at binary, w binary, prior double").first()
     if got is None:
         return np.empty(0, np.int64), np.empty(0), float(np.log(1 / 3))
@@ -166,7 +172,8 @@ def keep_clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     """Rows that aren't predicted toxic, with their columns as they are."""
     spark = docs.sparkSession
     score = scorer(spark, fit(spark, docs, labels, id_col, text_col))
-    return docs.withColumn("__score", score(F.col(text_col))).where("__score < 0.5").drop("__score")
+    own = free_names(docs, "score")[0]
+    return docs.withColumn(own, score(F.col(text_col))).where(F.col(own) < 0.5).drop(own)
 
 
 def op9_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
