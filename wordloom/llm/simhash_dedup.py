@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import connected_components, materialize, read_table
+from wordloom.llm.common import connected_components, free_names, materialize, read_table
 
 SEED = 42
 MAX_BITS = 3
@@ -134,18 +134,21 @@ def _run_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
 
+def _blanks(chosen: tuple[int, ...]) -> np.ndarray:
+    """For a choice of five bytes: the masks that leave three of the other 24 bits out."""
+    places = [8 * (7 - p) + i for p in range(8) if p not in chosen for i in range(8)]
+    return np.array([~((1 << x) | (1 << y) | (1 << z)) & (2**64 - 1) for x, y, z in combinations(places, MAX_BITS)], np.uint64)
+
+
 def _masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A five-byte key and its fingerprint -> that key with each choice of three of the 24 bits left blanked."""
-    choices = list(combinations(range(8), MIN_SHARED))
+    masks = [_blanks(chosen) for chosen in combinations(range(8), MIN_SHARED)]
     for b in batches:
         for key, fp in zip(b.column(0).to_pylist(), b.column(1).to_numpy(zero_copy_only=False), strict=True):
-            rest = [p for p in range(8) if p not in choices[key >> 40]]
-            places = [8 * (7 - p) + i for p in rest for i in range(8)]
-            masks = np.array([~((1 << x) | (1 << y) | (1 << z)) & (2**64 - 1) for x, y, z in combinations(places, MAX_BITS)], np.uint64)
-            bare = (masks & np.int64(fp).view(np.uint64)).view(np.int64)
-            n = len(masks)
+            mask = masks[key >> 40]
+            bare = (mask & np.int64(fp).view(np.uint64)).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(bare), pa.array(~masks.view(np.int64)), pa.array(np.full(n, fp, np.int64))], ["bare", "mask", "fp"]
+                [pa.array(bare), pa.array(~mask.view(np.int64)), pa.array(np.full(len(mask), fp, np.int64))], ["bare", "mask", "fp"]
             )
 
 
@@ -211,11 +214,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     The rows get a row number while they are staged once; what goes is decided on (id, fp, row number) alone and taken
     out by an anti join on the unique row number, so no text is grouped and no hot component meets in a task.
     """
-    staged = materialize(with_fingerprint(docs, text_col, "__fp").withColumn("__row", F.monotonically_increasing_id()), "docs")
-    marks = staged.select(F.col(id_col).alias("id"), F.col("__fp").alias("fp"), F.col("__row").alias("row"))
+    fp, row = free_names(docs, "fp", "row")
+    staged = materialize(with_fingerprint(docs, text_col, fp).withColumn(row, F.monotonically_increasing_id()), "docs")
+    marks = staged.select(F.col(id_col).alias("id"), F.col(fp).alias("fp"), F.col(row).alias("row"))
     found = fingerprint_components(marks.select("id", "fp"), "id").select("fp", "fp_root")
     placed = materialize(marks.join(found, "fp").select("fp_root", "id", "row"), "placed")
     first = placed.groupBy("fp_root").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "row")).alias("best"))
     goes = placed.select("row").join(first.select(F.col("best.row").alias("row")), "row", "left_anti")
-    goes = materialize(goes.select(F.col("row").alias("__row")), "goes")
-    return staged.join(goes, "__row", "left_anti").select(*docs.columns)
+    goes = materialize(goes.select(F.col("row").alias(row)), "goes")
+    return staged.join(goes, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
