@@ -8,6 +8,10 @@ runner writes each result as Parquet and rereads it as the next stage's docs; `r
   neardup   one document of each SimHash component stays, that of the least doc_id
   mix       rows are repeated or left out so that each source's words come near its target
   encode    texts become token ids, with their number, their hash and the hash of the text that they decode to
+
+Defined results: documents without text fail the quality stage; a null source is a source of its own, and null ids are kept
+like others; without labels nothing is toxic; equal rows are one near-duplicate component; columns beside those of documents,
+whatever their names, are kept up to the last stage; empty tables give empty results. Only the last stage is lazy in `run`.
 """
 
 from __future__ import annotations
