@@ -22,18 +22,25 @@ def norm_distance(a: Column, b: Column) -> Column:
     return F.round(F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b), F.lit(1)), 4)
 
 
-def word_distance(ref: Column, hyp: Column) -> Column:
-    """Each distinct word of the pair becomes a character of its own, so the built-in distance counts words.
+def spelled(ref: Column, hyp: Column) -> Column:
+    """(ref, hyp) with each distinct word of the pair as a character of its own, so that built-ins on characters count words.
 
-    The characters come from the supplementary planes, which hold a million distinct words for a pair.
+    The characters come from the supplementary planes, which hold a million distinct words for a pair. The list of words is
+    bound once for the pair by a transform over a single struct; inside a lambda it would be built again for every word.
     """
-    seen = F.array_distinct(F.concat(ref, hyp))
 
-    def spelled(arr: Column) -> Column:
-        code = lambda w: F.decode(F.unhex(F.lpad(F.hex(F.array_position(seen, w) + 65536), 8, "0")), "UTF-32")
-        return F.array_join(F.transform(arr, code), "")
+    def one(pair: Column) -> Column:
+        code = lambda w: F.decode(F.unhex(F.lpad(F.hex(F.array_position(pair["seen"], w) + 65536), 8, "0")), "UTF-32")
+        return F.struct(*[F.array_join(F.transform(pair[side], code), "").alias(side) for side in ("ref", "hyp")])
+
+    pair = F.struct(ref.alias("ref"), hyp.alias("hyp"), F.array_distinct(F.concat(ref, hyp)).alias("seen"))
+    return F.element_at(F.transform(F.array(pair), one), 1)
 
-    return F.levenshtein(spelled(ref), spelled(hyp))
+
+def word_distance(ref: Column, hyp: Column) -> Column:
+    """The built-in distance of the pair, spelled with a character for each word; equal pairs aren't spelled."""
+    distance = F.element_at(F.transform(F.array(spelled(ref, hyp)), lambda s: F.levenshtein(s["ref"], s["hyp"])), 1)
+    return F.when(ref == hyp, F.lit(0)).otherwise(distance)
 
 
 def utterance_wer(edits: Column, ref_words: Column) -> Column:
@@ -41,44 +48,147 @@ def utterance_wer(edits: Column, ref_words: Column) -> Column:
     return F.try_divide(edits.cast("double"), ref_words.cast("double"))
 
 
-def align_words(ref: list[str], hyp: list[str]) -> list[tuple[str, str | None, str | None, int, int]]:
-    """E6 for one pair. Among predecessors of equal cost the diagonal wins, then a deletion, then an insertion."""
-    n, m = len(ref), len(hyp)
-    cost = np.zeros((n + 1, m + 1), np.int32)
-    cost[:, 0], cost[0] = np.arange(n + 1), np.arange(m + 1)
-    ids: dict[str, int] = {}
-    r = np.array([ids.setdefault(w, len(ids)) for w in ref], np.int64)
-    h = np.array([ids.setdefault(w, len(ids)) for w in hyp], np.int64)
-    steps = np.arange(m + 1)
-    for i in range(1, n + 1):
-        row = np.minimum(cost[i - 1, :-1] + (h != r[i - 1]), cost[i - 1, 1:] + 1)
+EQUAL, SUBSTITUTE, DELETE, INSERT = range(4)
+OP_NAMES = ("equal", "substitute", "delete", "insert")
+SMALL = 4096
+
+
+def _rows(first: np.ndarray, r: np.ndarray, h: np.ndarray, start: int) -> Iterator[np.ndarray]:
+    """The rows of the cost table that follow `first`, that of place `start`."""
+    steps, row = np.arange(len(h) + 1, dtype=np.int32), first
+    for i, x in enumerate(r, start + 1):
+        best = np.minimum(row[:-1] + (h != x), row[1:] + 1)
         # an insertion chain adds one for each step: the running minimum of (value - position) has them all
-        cost[i] = np.minimum.accumulate(np.concatenate([[i], row]) - steps) + steps
-    ops, i, j = [], n, m
-    while i or j:
-        c = cost[i, j]
-        if i and j and c == cost[i - 1, j - 1] + (r[i - 1] != h[j - 1]):
+        row = np.minimum.accumulate(np.concatenate([[i], best]).astype(np.int32) - steps) + steps
+        yield row
+
+
+def _cost_rows(ref: str, hyp: str):
+    """Row by place of the cost table. Long pairs keep every k-th row and compute those between again, a stretch at a time,
+    so the memory is that of about 2 sqrt(n) rows."""
+    n, m = len(ref), len(hyp)
+    if n * m <= SMALL:
+        rows = [list(range(m + 1))]
+        for i, x in enumerate(ref, 1):
+            above, left, row = rows[-1], i, [i]
+            for j, y in enumerate(hyp):
+                left = above[j] if x == y else 1 + min(above[j], above[j + 1], left)
+                row.append(left)
+            rows.append(row)
+        return rows.__getitem__
+    r, h = (np.frombuffer(s.encode("utf-32-le"), np.uint32) for s in (ref, hyp))
+    k = max(64, int(n**0.5))
+    kept, row = {0: np.arange(m + 1, dtype=np.int32)}, None
+    for i, row in enumerate(_rows(kept[0], r, h, 0), 1):
+        if i % k == 0:
+            kept[i] = row
+    stretch: dict[int, np.ndarray] = {}
+
+    def at(i: int) -> np.ndarray:
+        if i not in stretch:
+            start = i // k * k
+            above = stretch.get(start + k)  # the step back across the border needs both its rows
+            stretch.clear()
+            stretch[start] = kept[start]
+            stretch.update(enumerate(_rows(kept[start], r[start : start + k], h, start), start + 1))
+            if above is not None:
+                stretch[start + k] = above
+        return stretch[i]
+
+    return at
+
+
+def align(ref: str, hyp: str) -> list[tuple[int, int, int]]:
+    """E6 for one pair with a character for each word: operation, place in ref, place in hyp.
+
+    Among predecessors of equal cost the diagonal wins, then a deletion, then an insertion. Equal last words are always on
+    the diagonal, so equal ends need no table.
+    """
+    i, j, ops = len(ref), len(hyp), []
+    while i and j and ref[i - 1] == hyp[j - 1]:
+        i, j = i - 1, j - 1
+        ops.append((EQUAL, i, j))
+    cost = _cost_rows(ref[:i], hyp[:j]) if i and j else None
+    while i and j:
+        here, above = cost(i), cost(i - 1)
+        c = here[j]
+        same = ref[i - 1] == hyp[j - 1]
+        if c == above[j - 1] + (not same):
             i, j = i - 1, j - 1
-            ops.append(("equal" if r[i] == h[j] else "substitute", ref[i], hyp[j], i, j))
-        elif i and c == cost[i - 1, j] + 1:
+            ops.append((EQUAL if same else SUBSTITUTE, i, j))
+        elif c == above[j] + 1:
             i -= 1
-            ops.append(("delete", ref[i], None, i, j))
+            ops.append((DELETE, i, j))
         else:
             j -= 1
-            ops.append(("insert", None, hyp[j], i, j))
+            ops.append((INSERT, i, j))
+    ops += [(DELETE, k, 0) for k in range(i - 1, -1, -1)] + [(INSERT, 0, k) for k in range(j - 1, -1, -1)]
     return ops[::-1]
 
 
-def word_ops(ref: Column, hyp: Column) -> Column:
-    """The aligned operations of each pair, in order; Arrow batches, as a traceback has no built-in."""
+def align_words(ref: list[str], hyp: list[str]) -> list[tuple[str, str | None, str | None, int, int]]:
+    """E6 for one pair of lists."""
+    return [(OP_NAMES[o], None if o == INSERT else ref[i], None if o == DELETE else hyp[j], i, j) for o, i, j in align(*_as_text(ref, hyp))]
+
+
+def packed_ops(ref: Column, hyp: Column) -> Column:
+    """E6 as whole numbers, see `op_of`, `ref_place` and `hyp_place`.
+
+    Only the traceback is Python, as it has no built-in; it gives back numbers, and words are put in by the engine.
+    """
 
     def ops(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        names = ("op", "ref", "hyp", "ref_pos", "hyp_pos")
         for refs, hyps in batches:
-            yield pd.Series(
-                [None if r is None or h is None else [dict(zip(names, x, strict=True)) for x in align_words(list(r), list(h))] for r, h in zip(refs, hyps, strict=True)],
-                dtype=object,
-            )
+            yield pd.Series([None if r is None or h is None else _packed(list(r), list(h)) for r, h in zip(refs, hyps, strict=True)], dtype=object)
 
     ops.__annotations__ = {"batches": Iterator[tuple[pd.Series, pd.Series]], "return": Iterator[pd.Series]}
-    return F.pandas_udf(ops, OPS_SCHEMA)(ref, hyp)
+    return F.pandas_udf(ops, "array<bigint>")(ref, hyp)
+
+
+def _as_text(ref: list[str], hyp: list[str]) -> tuple[str, str]:
+    """A character for each word, those of the supplementary planes."""
+    ids: dict[str, str] = {}
+    for w in [*ref, *hyp]:
+        if w not in ids:
+            ids[w] = chr(65536 + len(ids))
+    return "".join(map(ids.__getitem__, ref)), "".join(map(ids.__getitem__, hyp))
+
+
+def _packed(ref: list[str], hyp: list[str]) -> np.ndarray | list[int]:
+    if ref == hyp:
+        places = np.arange(len(ref), dtype=np.int64)
+        return places << 2 | places << 32
+    return [o | i << 2 | j << 32 for o, i, j in align(*_as_text(ref, hyp))]
+
+
+def op_of(x: Column) -> Column:
+    return x.bitwiseAND(3).cast("int")
+
+
+def op_name(x: Column) -> Column:
+    return F.element_at(F.array(*map(F.lit, OP_NAMES)), op_of(x) + 1)
+
+
+def ref_place(x: Column) -> Column:
+    return F.shiftright(x, 2).bitwiseAND((1 << 30) - 1).cast("int")
+
+
+def hyp_place(x: Column) -> Column:
+    return F.shiftright(x, 32).cast("int")
+
+
+def ref_word(x: Column, ref: Column) -> Column:
+    return F.when(op_of(x) != INSERT, F.get(ref, ref_place(x)))
+
+
+def hyp_word(x: Column, hyp: Column) -> Column:
+    return F.when(op_of(x) != DELETE, F.get(hyp, hyp_place(x)))
+
+
+def word_ops(ref: Column, hyp: Column) -> Column:
+    """The aligned operations of each pair, in order, as structs."""
+
+    def one(x: Column) -> Column:
+        return F.struct(op_name(x).alias("op"), ref_word(x, ref).alias("ref"), hyp_word(x, hyp).alias("hyp"), ref_place(x).alias("ref_pos"), hyp_place(x).alias("hyp_pos"))
+
+    return F.transform(packed_ops(ref, hyp), one).cast(OPS_SCHEMA)

@@ -69,8 +69,12 @@ def speaker_table(rows: DataFrame, assignment: DataFrame, threshold: float) -> D
 def operations(rows: DataFrame) -> DataFrame:
     """One row for each aligned operation of scored rows; an empty hypothesis deletes every word."""
     some = rows.where(F.size("ref") > 0)
-    exploded = some.select("*", F.posexplode(E.word_ops(F.col("ref"), F.col("hyp"))).alias("k", "o"))
-    return exploded.select(*rows.columns, F.col("k").alias("op_index"), F.col("o.op").alias("op"), F.col("o.ref").alias("ref_word"), F.col("o.hyp").alias("hyp_word"), F.col("o.ref_pos").alias("ref_pos"), F.col("o.hyp_pos").alias("hyp_pos"))
+    exploded = some.select("*", F.posexplode(E.packed_ops(F.col("ref"), F.col("hyp"))).alias("op_index", "x"))
+    x, ref, hyp = F.col("x"), F.col("ref"), F.col("hyp")
+    return exploded.select(
+        *rows.columns, "op_index", E.op_name(x).alias("op"), E.ref_word(x, ref).alias("ref_word"), E.hyp_word(x, hyp).alias("hyp_word"),
+        E.ref_place(x).alias("ref_pos"), E.hyp_place(x).alias("hyp_pos"),
+    )
 
 
 def segment_report(rows: DataFrame, key: str = "seg_index") -> DataFrame:
@@ -78,15 +82,17 @@ def segment_report(rows: DataFrame, key: str = "seg_index") -> DataFrame:
 
     The operations are summed by array functions on the row itself: nothing is exploded or shuffled.
     """
-    o = rows.withColumn("ops", F.when(F.size("ref") > 0, E.word_ops(F.col("ref"), F.col("hyp"))).otherwise(F.array().cast(E.OPS_SCHEMA)))
+    o = rows.withColumn("ops", F.when(F.size("ref") > 0, E.packed_ops(F.col("ref"), F.col("hyp"))).otherwise(F.array().cast("array<bigint>")))
+    ref, hyp = (lambda x: F.get("ref", E.ref_place(x))), (lambda x: F.get("hyp", E.hyp_place(x)))
     tally = lambda cond: F.size(F.filter("ops", cond)).cast("long")
+    of = lambda kind: lambda x: E.op_of(x) == kind
     out = o.select(
-        "*", tally(lambda x: x["op"] == "equal").alias("C"), tally(lambda x: x["op"] == "substitute").alias("S"), tally(lambda x: x["op"] == "delete").alias("D"),
-        tally(lambda x: x["op"] == "insert").alias("I"), F.size("ref").cast("long").alias("T"),
-        tally(lambda x: (x["op"] == "substitute") & T.is_plural_pair(x["ref"], x["hyp"])).alias("plural_subs"),
+        "*", tally(of(E.EQUAL)).alias("C"), tally(of(E.SUBSTITUTE)).alias("S"), tally(of(E.DELETE)).alias("D"),
+        tally(of(E.INSERT)).alias("I"), F.size("ref").cast("long").alias("T"),
+        tally(lambda x: (E.op_of(x) == E.SUBSTITUTE) & T.is_plural_pair(ref(x), hyp(x))).alias("plural_subs"),
         F.size(F.filter("ref", T.is_number_word)).cast("long").alias("ref_number_words"),
-        tally(lambda x: x["op"].isin("substitute", "delete") & T.is_number_word(x["ref"])).alias("wrong_number_words"),
-        tally(lambda x: (x["op"] == "insert") & T.is_number_word(x["hyp"])).alias("number_insertions"),
+        tally(lambda x: E.op_of(x).isin(E.SUBSTITUTE, E.DELETE) & T.is_number_word(ref(x))).alias("wrong_number_words"),
+        tally(lambda x: (E.op_of(x) == E.INSERT) & T.is_number_word(hyp(x))).alias("number_insertions"),
     )
     ratio = lambda c: F.round(F.try_divide(c.cast("double"), F.col("T").cast("double")), 4)
     return out.drop("ops").withColumns(
@@ -132,7 +138,7 @@ def top_errors(ops: DataFrame, top: int) -> DataFrame:
     n = ops.where("op <> 'equal'").groupBy("op", "ref_word", "hyp_word").agg(F.count("*").alias("n"))
     order = Window.partitionBy("op").orderBy(F.desc("n"), F.coalesce("ref_word", F.lit("")), F.coalesce("hyp_word", F.lit("")))
     best = n.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-    kinds = ops.where("op <> 'equal'").groupBy("op").agg(F.count("*").alias("of_type"))
+    kinds = n.groupBy("op").agg(F.sum("n").alias("of_type"))
     kinds = kinds.withColumn("of_all", F.sum("of_type").over(Window.partitionBy()))
     pct = lambda c: F.round(F.col("n") * F.lit(100.0) / F.col(c), 6)
     return best.join(kinds, "op").select("op", "rank", "ref_word", "hyp_word", "n", pct("of_type").alias("pct_of_type"), pct("of_all").alias("pct_of_edits"))
