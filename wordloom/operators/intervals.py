@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Width of a time bucket, in seconds; chunks of speech are at most 30 s long.
+BUCKET = 600.0
+
 
 def clip_regions(regions: Column, lo: Column, hi: Column) -> Column:
     """J5 on an array of (start, end): the parts inside [lo, hi), relative to lo; touching ends don't count."""
@@ -12,39 +15,67 @@ def clip_regions(regions: Column, lo: Column, hi: Column) -> Column:
     return F.transform(F.filter(cut, lambda r: r["end"] > r["start"]), lambda r: F.struct(F.round(r["start"] - lo, 4).alias("start"), F.round(r["end"] - lo, 4).alias("end")))
 
 
-def overlaps(left: DataFrame, right: DataFrame, file: str, left_span=("start_abs", "end_abs"), right_span=("start_s", "end_s"), bucket_s: float | None = None) -> DataFrame:
-    """Pairs that overlap, half-open. With bucket_s, both sides are dealt to time buckets, so that a long recording is
-    no single group: the join is on (file, bucket), and a pair counts in the bucket where its overlap starts."""
+def _cells(start: str, end: str, bucket_s: float) -> Column:
+    return F.explode(F.sequence(F.floor(F.col(start) / bucket_s), F.floor(F.greatest(F.col(end), F.col(start)) / bucket_s)))
+
+
+def overlaps(left: DataFrame, right: DataFrame, file: str, left_span=("start_abs", "end_abs"), right_span=("start_s", "end_s"), bucket_s: float = BUCKET) -> DataFrame:
+    """Pairs that overlap, half-open. Both sides are dealt to time buckets, so that a long recording is no single group:
+    the join is on (file, bucket), and a pair counts in the bucket where its overlap starts. Buckets should be about as
+    long as the longer spans or longer."""
     (a, b), (c, d) = left_span, right_span
     meets = (F.col(c) < F.col(b)) & (F.col(d) > F.col(a))
-    if bucket_s is None:
-        return left.join(right, file).where(meets)
-    cells = lambda s, e: F.explode(F.sequence(F.floor(F.col(s) / bucket_s), F.floor(F.greatest(F.col(e), F.col(s)) / bucket_s)))
-    joined = left.withColumn("__b", cells(a, b)).join(right.withColumn("__b", cells(c, d)), [file, "__b"])
+    joined = left.withColumn("__b", _cells(a, b, bucket_s)).join(right.withColumn("__b", _cells(c, d, bucket_s)), [file, "__b"])
     return joined.where(meets & (F.floor(F.greatest(F.col(a), F.col(c)) / bucket_s) == F.col("__b"))).drop("__b")
 
 
-def best_chunk(segments: DataFrame, chunks: DataFrame, file: str, key: str, span=("start_abs", "end_abs"), chunk_order: str = "chunk_index") -> DataFrame:
+def nearest(points: DataFrame, marks: DataFrame, file: str, key: str, order: str) -> DataFrame:
+    """key and the `order` value of the mark nearest in time (the smallest of equals), by a merge of both in time order.
+
+    points: file, key, at. marks: file, at, order. Each point sees the last mark before and the first after it, so a
+    recording is one sort and not all pairs; marks at one time are one mark.
+    """
+    best = marks.groupBy(file, "at").agg(F.min(order).alias("m"))
+    kind = F.lit(None).cast(points.schema[key].dataType)
+    both = points.select(file, "at", F.col(key).alias("k"), F.lit(None).cast(marks.schema[order].dataType).alias("m"), F.lit(1).alias("is_point"))
+    both = both.union(best.select(file, "at", kind, "m", F.lit(0)))
+    mark = F.when(F.col("is_point") == 0, F.struct("at", "m"))
+    past = Window.partitionBy(file).orderBy("at", "is_point").rowsBetween(Window.unboundedPreceding, 0)
+    later = Window.partitionBy(file).orderBy(F.desc("at"), "is_point").rowsBetween(Window.unboundedPreceding, 0)
+    seen = both.select(file, "at", "k", "is_point", F.last(mark, ignorenulls=True).over(past).alias("a"), F.last(mark, ignorenulls=True).over(later).alias("b"))
+    away = lambda side: F.struct(F.abs(F.col(f"{side}.at") - F.col("at")).alias("d"), F.col(f"{side}.m").alias("m"))
+    choice = F.array_min(F.filter(F.array(away("a"), away("b")), lambda c: c["d"].isNotNull()))
+    return seen.where((F.col("is_point") == 1) & (F.col("a").isNotNull() | F.col("b").isNotNull())).select(file, F.col("k").alias(key), choice["m"].alias(order))
+
+
+def best_chunk(segments: DataFrame, chunks: DataFrame, file: str, key: str, span=("start_abs", "end_abs"), chunk_order: str = "chunk_index", bucket_s: float = BUCKET) -> DataFrame:
     """The chunk with the longest overlap (the first of equals), or else the one with the nearest centre.
 
-    One comparison key does both: overlapping chunks come first by length, the others by distance of centres.
+    Overlaps come from time buckets; only segments without one look for the nearest centre, in time order.
     """
     s, e = F.col(span[0]), F.col(span[1])
+    rows = segments.select(file, key, *span)
+    places = chunks.select(file, chunk_order, "start_s", "end_s")
     lap = F.least(e, F.col("end_s")) - F.greatest(s, F.col("start_s"))
-    away = F.abs((F.col("start_s") + F.col("end_s")) * 0.5 - (s + e) * 0.5)
-    rank = F.struct(F.when(lap > 0, 0).otherwise(1), F.when(lap > 0, -lap).otherwise(away), F.col(chunk_order))
-    pairs = segments.select(file, key, *span).join(chunks.select(file, chunk_order, "start_s", "end_s"), file)
-    return pairs.groupBy(file, key).agg(F.min_by(chunk_order, rank).alias(chunk_order), F.greatest(F.max(lap), F.lit(0.0)).alias("overlap"))
+    found = overlaps(rows, places, file, span, bucket_s=bucket_s).groupBy(file, key).agg(F.min_by(chunk_order, F.struct(-lap, F.col(chunk_order))).alias(chunk_order), F.max(lap).alias("overlap"))
+    alone = rows.join(found, [file, key], "left_anti").select(file, key, ((s + e) * 0.5).alias("at"))
+    centres = places.select(file, chunk_order, ((F.col("start_s") + F.col("end_s")) * 0.5).alias("at"))
+    return found.unionByName(nearest(alone, centres, file, key, chunk_order).withColumn("overlap", F.lit(0.0)))
 
 
-def chunk_of_point(words: DataFrame, chunks: DataFrame, file: str, key: str, at: str = "start_abs", chunk_order: str = "chunk_index") -> DataFrame:
-    """The first chunk that contains the time (ends included), or else the one with the nearest edge."""
+def chunk_of_point(words: DataFrame, chunks: DataFrame, file: str, key: str, at: str = "start_abs", chunk_order: str = "chunk_index", bucket_s: float = BUCKET) -> DataFrame:
+    """The first chunk that contains the time (ends included), or else the one with the nearest edge.
+
+    A word falls into one time bucket and a chunk into those that it touches; the others are merged with the edges.
+    """
     t = F.col(at)
-    inside = t.between(F.col("start_s"), F.col("end_s"))
-    edge = F.least(F.abs(t - F.col("start_s")), F.abs(t - F.col("end_s")))
-    rank = F.struct(F.when(inside, 0).otherwise(1), F.when(inside, F.lit(0.0)).otherwise(edge), F.col(chunk_order))
-    pairs = words.select(file, key, at).join(chunks.select(file, chunk_order, "start_s", "end_s"), file)
-    return pairs.groupBy(file, key).agg(F.min_by(chunk_order, rank).alias(chunk_order))
+    rows = words.select(file, key, at)
+    places = chunks.select(file, chunk_order, "start_s", "end_s")
+    near = rows.withColumn("__b", F.floor(t / bucket_s)).join(places.withColumn("__b", _cells("start_s", "end_s", bucket_s)), [file, "__b"])
+    found = near.where(t.between(F.col("start_s"), F.col("end_s"))).groupBy(file, key).agg(F.min(chunk_order).alias(chunk_order))
+    alone = rows.join(found, [file, key], "left_anti").select(file, key, t.alias("at"))
+    edges = places.select(file, chunk_order, F.explode(F.array("start_s", "end_s")).alias("at"))
+    return found.unionByName(nearest(alone, edges, file, key, chunk_order))
 
 
 def silence_plan(duration: Column, regions: Column, threshold: float) -> Column:

@@ -12,40 +12,52 @@ from wordloom.config import DEFAULTS
 FAR = (1 << 30) - 1
 
 
-def window_match(ref: Column, hyp: Column, expected: Column, n: Column, back: int = DEFAULTS.search_back, forward: int = DEFAULTS.search_forward) -> Column:
-    """L2: the reference window nearest to the hypothesis by character distance, the smallest position of equals.
-
-    A fold over the window's positions: each distance is computed only up to the best so far, beginning with that of the
-    expected place, so the search is pruned as it goes and a chunk is one row from start to end. Penalties and bonus are off by default and add no term.
-    """
-    total = F.size(ref)
+def _search(total: Column, expected: Column, n: Column, back: int, forward: int) -> tuple[Column, Column, Column]:
+    """First place of the window, the place after its last, and how many words it holds."""
     lo = F.greatest(F.lit(0), expected - back)
     hi = F.greatest(F.least(total - n + 1, expected + forward), lo + 1)
-    width = F.least(n, total - lo)
-    said = F.array_join(hyp, " ")
+    return lo.cast("int"), hi.cast("int"), F.least(n, total - lo).cast("int")
+
+
+def window_match(part: Column, said: Column, lo: Column, hi: Column, width: Column, expected: Column) -> Column:
+    """L2: of the windows that begin in [lo, hi) the one nearest to the text by character distance, the smallest place of
+    equals: (d, p). part: the reference from lo on.
+
+    A fold over the places: each distance is computed only up to the best so far, beginning with that of the expected place,
+    so the search is pruned as it goes and a chunk is one row from start to end.
+    """
     first = F.least(F.greatest(expected, lo), hi - 1).cast("int")
-    start = F.struct(F.pmod(F.levenshtein(said, F.array_join(F.slice(ref, first + 1, width), " ")), F.lit(FAR + 1)).alias("d"), first.alias("p"))
+    window = lambda p: F.array_join(F.slice(part, p - lo + 1, width), " ")
+    start = F.struct(F.pmod(F.levenshtein(said, window(first)), F.lit(FAR + 1)).alias("d"), first.alias("p"))
 
     def step(best: Column, p: Column) -> Column:
         # over the limit the built-in gives -1, which the modulus makes the farthest distance: one evaluation a step
-        d = F.call_function("levenshtein", said, F.array_join(F.slice(ref, p + 1, width), " "), best["d"])
+        d = F.call_function("levenshtein", said, window(p), best["d"])
         return F.least(best, F.struct(F.pmod(d, F.lit(FAR + 1)).alias("d"), p.cast("int").alias("p")))
 
-    best = F.aggregate(F.sequence(lo.cast("int"), (hi - 1).cast("int")), start, step)
-    return F.when(n <= 0, F.struct(F.lit(0).alias("d"), expected.cast("int").alias("p"))).otherwise(best)
+    return F.aggregate(F.sequence(lo, hi - 1), start, step)
 
 
-def with_match(rows: DataFrame, ref: str, hyp: str, expected: str, n: str, **how) -> DataFrame:
-    """L2: adds start_idx, end_idx and nd (4 places; 1 for an empty window)."""
-    # the fold is all computing: deal the rows out evenly, whatever small partitions they come in
-    rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    out = rows.withColumn("__m", window_match(F.col(ref), F.col(hyp), F.col(expected), F.col(n), **how))
-    width = F.least(F.col(n), F.size(ref) - F.greatest(F.lit(0), F.col(expected) - how.get("back", DEFAULTS.search_back)))
+def with_match(rows: DataFrame, ref: str, hyp: str, expected: str, n: str, back: int = DEFAULTS.search_back, forward: int = DEFAULTS.search_forward) -> DataFrame:
+    """L2: adds start_idx, end_idx and nd (4 places; 1 for an empty window), and replaces `ref` by its number of words.
+
+    Each row keeps only the words that its windows can reach before rows are dealt out, so a long transcript isn't shuffled
+    with each of its chunks. The fold is all computing, hence rows are dealt evenly, whatever partitions they come in.
+    """
+    lo, hi, width = _search(F.size(ref), F.col(expected), F.col(n), back, forward)
+    out = rows.withColumns({"__lo": lo, "__hi": hi, "__w": width, "__said": F.array_join(hyp, " ")})
+    reach = F.slice(ref, F.col("__lo") + 1, F.greatest(F.col("__hi") - 1 - F.col("__lo") + F.col("__w"), F.lit(0)))
+    out = out.withColumn("__part", reach).withColumn(ref, F.size(ref))
+    out = out.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    lo, hi, width = F.col("__lo"), F.col("__hi"), F.col("__w")
+    empty = F.struct(F.lit(0).alias("d"), F.col(expected).cast("int").alias("p"))
+    match = window_match(F.col("__part"), F.col("__said"), lo, hi, width, F.col(expected))
+    out = out.withColumn("__m", F.when(F.col(n) <= 0, empty).otherwise(match))
     out = out.withColumn("start_idx", F.col("__m.p").cast("long"))
-    out = out.withColumn("end_idx", F.when(F.col(n) <= 0, F.col("start_idx")).otherwise(F.least(F.col("start_idx") + width, F.size(ref))).cast("long"))
-    found = F.array_join(F.slice(ref, F.col("start_idx").cast("int") + 1, F.greatest(F.col("end_idx") - F.col("start_idx"), F.lit(0)).cast("int")), " ")
-    nd = F.round(F.col("__m.d") / F.greatest(F.length(F.array_join(hyp, " ")), F.length(found), F.lit(1)), 4)
-    return out.withColumn("nd", F.when(F.col(n) <= 0, F.lit(1.0)).otherwise(nd)).drop("__m")
+    out = out.withColumn("end_idx", F.when(F.col(n) <= 0, F.col("start_idx")).otherwise(F.least(F.col("start_idx") + width, F.col(ref))).cast("long"))
+    found = F.array_join(F.slice("__part", (F.col("start_idx") - lo + 1).cast("int"), F.greatest(F.col("end_idx") - F.col("start_idx"), F.lit(0)).cast("int")), " ")
+    nd = F.round(F.col("__m.d") / F.greatest(F.length("__said"), F.length(found), F.lit(1)), 4)
+    return out.withColumn("nd", F.when(F.col(n) <= 0, F.lit(1.0)).otherwise(nd)).drop("__m", "__lo", "__hi", "__w", "__said", "__part")
 
 
 def window_words(speech: Column, wps: Column, hyp: Column) -> Column:
@@ -61,8 +73,8 @@ def best_option(rows: DataFrame, keys, options: str, ref: str, expected: str, sp
     m = with_match(o, ref, "said", expected, "n", **how)
     blank = F.size("said") == 0
     m = m.withColumn("nd", F.when(blank, F.lit(1.0)).otherwise(F.col("nd")))
-    m = m.withColumn("start_idx", F.when(blank, F.least(F.col(expected), F.size(ref))).otherwise(F.col("start_idx")).cast("long"))
-    m = m.withColumn("end_idx", F.when(blank, F.least(F.col("start_idx") + F.col("n"), F.size(ref))).otherwise(F.col("end_idx")).cast("long"))
+    m = m.withColumn("start_idx", F.when(blank, F.least(F.col(expected), F.col(ref))).otherwise(F.col("start_idx")).cast("long"))
+    m = m.withColumn("end_idx", F.when(blank, F.least(F.col("start_idx") + F.col("n"), F.col(ref))).otherwise(F.col("end_idx")).cast("long"))
     chosen = F.max_by(F.struct("option", "text", "start_idx", "end_idx", "nd"), F.struct(-F.col("nd"), "option"))
     return m.groupBy(*keys).agg(chosen.alias("c"), F.count("*").alias("n_options")).select(*keys, "n_options", "c.*")
 

@@ -29,9 +29,10 @@ def speaker_map(transcripts: DataFrame, file: str = "file_no", value: str = "val
     )
 
 
-def with_speakers(timeline: DataFrame, speakers: DataFrame, file: str = "file_no") -> DataFrame:
-    """Each word's speaker by its reference index, UNKNOWN without one."""
-    s = speakers.groupBy(file, "ref_word_idx").agg(F.last("speaker_id").alias("speaker_id"))
+def with_speakers(timeline: DataFrame, speakers: DataFrame, file: str = "file_no", order: str | None = None) -> DataFrame:
+    """Each word's speaker by its reference index, UNKNOWN without one. Of several the last by `order` counts (without one,
+    the last by name), so the order in which rows arrive doesn't matter."""
+    s = speakers.groupBy(file, "ref_word_idx").agg(F.max_by("speaker_id", F.struct(*([order] if order else []), "speaker_id")).alias("speaker_id"))
     return timeline.join(s, [file, "ref_word_idx"], "left").withColumn("speaker_id", F.coalesce("speaker_id", F.lit("UNKNOWN")))
 
 

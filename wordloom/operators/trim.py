@@ -15,27 +15,28 @@ def top_half_mean(scores: Column) -> Column:
     return F.aggregate(half, F.lit(0.0), lambda a, x: a + x) / k
 
 
-def _prefix(scores: Column) -> Column:
-    """Running sums, one for each length from 0."""
-    return F.aggregate(scores, F.array(F.lit(0.0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
-
-
 def with_split(rows: DataFrame, scores: str, tail: bool, d=DEFAULTS) -> DataFrame:
     """W10 (tail), W11 (head): adds split, contrast, side_mean, top_half and trim, which is null if nothing is cut.
 
-    The first of the splits with the largest contrast counts. Sums come from one pass over the scores, and each step is
-    a column of its own, so nothing is computed twice.
+    The first of the splits with the largest contrast counts. One fold over the scores carries the running sum and the best
+    split so far, so a row of any length takes one pass and no list is copied.
     """
     keep, cut = (d.trim_keep, d.trim_cut) if tail else (d.trim_cut, d.trim_keep)
-    n, sums = F.size(scores), F.col("__sums")
-    out = rows.withColumn("__sums", _prefix(F.col(scores)))
-
-    def candidate(i: Column) -> Column:
-        left, right = F.get(sums, i) / i, (F.element_at(sums, -1) - F.get(sums, i)) / (n - i)
-        return F.struct((left - right if tail else right - left).alias("contrast"), (-i).alias("minus"), (right if tail else left).alias("side"))
-
+    n, total = F.size(scores), F.col("__total")
+    out = rows.withColumn("__total", F.aggregate(scores, F.lit(0.0), lambda a, x: a + x))
+    none = F.lit(None).cast("struct<contrast:double,minus:int,side:double>")
+
+    def step(state: Column, x: Column) -> Column:
+        i, left_sum = state["i"] + 1, state["sum"] + x
+        left, right = left_sum / i, (total - left_sum) / (n - i)
+        here = F.struct((left - right if tail else right - left).alias("contrast"), (-i).alias("minus"), (right if tail else left).alias("side"))
+        # greatest() skips nulls, so the first candidate replaces nothing
+        best = F.when((i >= keep) & (i <= n - cut), F.greatest(state["best"], here)).otherwise(state["best"])
+        return F.struct(i.alias("i"), left_sum.alias("sum"), best.alias("best"))
+
+    start = F.struct(F.lit(0).alias("i"), F.lit(0.0).alias("sum"), none.alias("best"))
     enough = n >= d.trim_keep + d.trim_cut
-    out = out.withColumn("__best", F.array_max(F.transform(F.when(enough, F.sequence(F.lit(keep), n - cut)), candidate)))
+    out = out.withColumn("__best", F.when(enough, F.aggregate(scores, start, step)["best"]))
     out = out.withColumn("__top", F.when(n > 0, top_half_mean(F.col(scores))))
     best, top = F.col("__best"), F.col("__top")
     guard = F.least(F.lit(d.trim_side_max), d.trim_side_factor * top)
@@ -45,7 +46,7 @@ def with_split(rows: DataFrame, scores: str, tail: bool, d=DEFAULTS) -> DataFram
             "split": -best["minus"], "contrast": F.round(best["contrast"], 6), "side_mean": F.round(best["side"], 6), "top_half": F.round(top, 6),
             "trim": F.when(good, -best["minus"]),
         }
-    ).drop("__sums", "__best", "__top")
+    ).drop("__total", "__best", "__top")
 
 
 def keep_words(words: Column, trim: Column, tail: bool) -> Column:

@@ -19,6 +19,8 @@ from wordloom.plans.scoring import _sql_t1, _sql_t5
 
 QUERIES, ORACLE_SQL = {}, {}
 ORDER = ("start_abs", "event_id")
+#: Time buckets for the day-long chunks of these tables.
+DAYS = 3 * 86_400.0
 
 
 def query(name: str, sql: str | None = None):
@@ -157,33 +159,32 @@ _BOTH = _SEGMENTS.rstrip() + f", {CHUNKS_SQL} "
 
 @query("J5_clip_regions", f"WITH {TIMELINE_SQL}, {CHUNKS_SQL}, o AS (SELECT c.file_no, chunk_index, round(greatest(start_abs, start_s) - start_s, 4) AS s, round(least(end_abs, end_s) - start_s, 4) AS e FROM timeline t JOIN chunks c ON t.file_no = c.file_no AND least(end_abs, end_s) > greatest(start_abs, start_s)) SELECT file_no, chunk_index, count(*) AS regions, round(sum(e - s), 0) AS speech_s, min(s) AS first_s FROM o GROUP BY ALL")
 def j5(spark, sf):
-    t = D.timeline(spark, sf).groupBy("file_no").agg(F.collect_list(F.struct(F.col("start_abs").alias("start"), F.col("end_abs").alias("end"))).alias("regions"))
-    c = D.chunks(spark, sf).join(t, "file_no").withColumn("r", J.clip_regions(F.col("regions"), F.col("start_s"), F.col("end_s")))
-    speech = F.aggregate("r", F.lit(0.0), lambda a, x: a + x["end"] - x["start"])
-    return c.where(F.size("r") > 0).select("file_no", "chunk_index", F.size("r").cast("long").alias("regions"), F.round(speech, 0).alias("speech_s"), F.array_min(F.transform("r", lambda x: x["start"])).alias("first_s"))
+    o = J.overlaps(D.timeline(spark, sf), D.chunks(spark, sf), "file_no", bucket_s=DAYS)
+    a, b = F.round(F.greatest("start_abs", "start_s") - F.col("start_s"), 4), F.round(F.least("end_abs", "end_s") - F.col("start_s"), 4)
+    return o.groupBy("file_no", "chunk_index").agg(F.count("*").alias("regions"), F.round(F.sum(b - a), 0).alias("speech_s"), F.min(a).alias("first_s"))
 
 
 @query("J6_segment_chunks", _BOTH + "SELECT s.file_no, seg_index, chunk_index, round(greatest(start_abs, start_s), 4) AS overlap_start, round(least(end_abs, end_s), 4) AS overlap_end, round(greatest(start_abs, start_s) - start_s, 4) AS start_in_chunk FROM segments s JOIN chunks c ON s.file_no = c.file_no AND start_s < end_abs AND end_s > start_abs")
 def j6(spark, sf):
-    o = J.overlaps(_segments(spark, sf), D.chunks(spark, sf), "file_no", bucket_s=3 * 86_400.0)
+    o = J.overlaps(_segments(spark, sf), D.chunks(spark, sf), "file_no", bucket_s=DAYS)
     a, b = F.greatest("start_abs", "start_s"), F.least("end_abs", "end_s")
     return o.select("file_no", "seg_index", "chunk_index", F.round(a, 4).alias("overlap_start"), F.round(b, 4).alias("overlap_end"), F.round(a - F.col("start_s"), 4).alias("start_in_chunk"))
 
 
 @query("J7_max_overlap_chunk", _BOTH + ", p AS (SELECT s.file_no, seg_index, chunk_index, least(end_abs, end_s) - greatest(start_abs, start_s) AS lap, abs((start_s + end_s) * 0.5::DOUBLE - (start_abs + end_abs) * 0.5::DOUBLE) AS away FROM segments s JOIN chunks c ON s.file_no = c.file_no), r AS (SELECT *, row_number() OVER (PARTITION BY file_no, seg_index ORDER BY lap > 0 DESC, CASE WHEN lap > 0 THEN -lap ELSE away END, chunk_index) AS k FROM p) SELECT file_no, seg_index, chunk_index, round(greatest(lap, 0), 6) AS overlap FROM r WHERE k = 1")
 def j7(spark, sf):
-    return J.best_chunk(_segments(spark, sf), D.chunks(spark, sf), "file_no", "seg_index").withColumn("overlap", F.round("overlap", 6))
+    return J.best_chunk(_segments(spark, sf), D.chunks(spark, sf), "file_no", "seg_index", bucket_s=DAYS).withColumn("overlap", F.round("overlap", 6))
 
 
 @query("J8_word_chunk", f"WITH {TIMELINE_SQL}, {CHUNKS_SQL}, p AS (SELECT event_id, t.file_no, chunk_index, start_abs BETWEEN start_s AND end_s AS inside, least(abs(start_abs - start_s), abs(start_abs - end_s)) AS edge FROM timeline t JOIN chunks c ON t.file_no = c.file_no), r AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY inside DESC, CASE WHEN inside THEN 0 ELSE edge END, chunk_index) AS k FROM p) SELECT event_id, chunk_index FROM r WHERE k = 1")
 def j8(spark, sf):
-    return J.chunk_of_point(D.timeline(spark, sf), D.chunks(spark, sf), "file_no", "event_id").select("event_id", "chunk_index")
+    return J.chunk_of_point(D.timeline(spark, sf), D.chunks(spark, sf), "file_no", "event_id", bucket_s=DAYS).select("event_id", "chunk_index")
 
 
 @query("A21_speaker_chunk_words", f"WITH {TIMELINE_SQL}, {CHUNKS_SQL}, p AS (SELECT event_id, speaker, t.file_no, chunk_index, chunk_file, start_abs BETWEEN start_s AND end_s AS inside, least(abs(start_abs - start_s), abs(start_abs - end_s)) AS edge FROM timeline t JOIN chunks c ON t.file_no = c.file_no), r AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY inside DESC, CASE WHEN inside THEN 0 ELSE edge END, chunk_index) AS k FROM p) SELECT speaker, file_no, chunk_file, count(*) AS words FROM r WHERE k = 1 GROUP BY ALL")
 def a21(spark, sf):
     t, c = D.timeline(spark, sf), D.chunks(spark, sf)
-    found = J.chunk_of_point(t, c, "file_no", "event_id").join(t.select("event_id", "speaker"), "event_id").join(c.select("file_no", "chunk_index", "chunk_file"), ["file_no", "chunk_index"])
+    found = J.chunk_of_point(t, c, "file_no", "event_id", bucket_s=DAYS).join(t.select("event_id", "speaker"), "event_id").join(c.select("file_no", "chunk_index", "chunk_file"), ["file_no", "chunk_index"])
     return found.groupBy("speaker", "file_no", "chunk_file").agg(F.count("*").alias("words"))
 
 
@@ -202,7 +203,7 @@ def au1(spark, sf):
 
 @query("N9_speech_seconds", f"WITH {TIMELINE_SQL}, {CHUNKS_SQL}, o AS (SELECT c.file_no, c.chunk_index, sum(least(end_abs, end_s) - greatest(start_abs, start_s)) AS s FROM timeline t JOIN chunks c ON t.file_no = c.file_no AND least(end_abs, end_s) > greatest(start_abs, start_s) GROUP BY ALL) SELECT c.file_no, c.chunk_index, round(coalesce(s, duration_s), 3) AS speech_s FROM chunks c LEFT JOIN o ON c.file_no = o.file_no AND c.chunk_index = o.chunk_index")
 def n9(spark, sf):
-    o = J.overlaps(D.timeline(spark, sf), D.chunks(spark, sf), "file_no", bucket_s=3 * 86_400.0)
+    o = J.overlaps(D.timeline(spark, sf), D.chunks(spark, sf), "file_no", bucket_s=DAYS)
     s = o.groupBy("file_no", "chunk_index").agg(F.sum(F.least("end_abs", "end_s") - F.greatest("start_abs", "start_s")).alias("s"))
     return D.chunks(spark, sf).join(s, ["file_no", "chunk_index"], "left").select("file_no", "chunk_index", F.round(F.coalesce("s", "duration_s"), 3).alias("speech_s"))
 
@@ -248,7 +249,7 @@ def w12(spark, sf):
 # --- localisation: the turns of a conversation inside its whole text --------------------------------------------------
 
 # the SQL's search, which is narrower than the queries': DuckDB computes every distance in full
-BACK, FORWARD = 30, 30
+BACK, FORWARD = 600, 200
 
 
 def loc_chunks(spark, sf):
@@ -317,7 +318,7 @@ def l4(spark, sf):
     return _best(spark, sf).select("file_no", "chunk_index", F.col("option").cast("long").alias("option"), "start_idx", "end_idx", "nd")
 
 
-@query("A19_winner_counts", _BEST + ", two AS (SELECT file_no, chunk_index, max(nd) FILTER (option = 0) - max(nd) FILTER (option = 1) AS delta, arg_min(option, r) AS won FROM best GROUP BY ALL) SELECT file_no, count(*) AS chunks, count(*) FILTER (won = 0) AS first_wins, count(*) FILTER (won = 1) AS second_wins, round(avg(delta), 6) AS mean_delta FROM two GROUP BY file_no")
+@query("A19_winner_counts", _BEST + ", two AS (SELECT file_no, chunk_index, max(nd) FILTER (option = 0) - max(nd) FILTER (option = 1) AS delta, arg_min(option, r) AS won FROM best GROUP BY ALL) SELECT file_no, count(*) AS chunks, count(*) FILTER (won = 0) AS first_wins, count(*) FILTER (won = 1) AS second_wins, sum(CAST(round(delta * 10000) AS BIGINT)) / (count(*) * 10000.0::DOUBLE) AS mean_delta FROM two GROUP BY file_no")
 def a19(spark, sf):
     none = F.array().cast("array<string>")
     a = F.flatten(F.transform("said", lambda x, i: F.when((i + 1) % 7 == 3, none).otherwise(F.array(x))))
@@ -329,7 +330,7 @@ def a19(spark, sf):
         x = L.with_match(x, "ref", "hyp", "expected", "n").select("file_no", "chunk_index", F.col("nd").alias(f"nd{k}"))
         m = x if m is None else m.join(x, ["file_no", "chunk_index"])
     won = F.when(F.col("nd1") <= F.col("nd0"), 1).otherwise(0)
-    return m.groupBy("file_no").agg(F.count("*").alias("chunks"), F.count_if(won == 0).alias("first_wins"), F.count_if(won == 1).alias("second_wins"), F.round(F.avg(F.col("nd0") - F.col("nd1")), 6).alias("mean_delta"))
+    return m.groupBy("file_no").agg(F.count("*").alias("chunks"), F.count_if(won == 0).alias("first_wins"), F.count_if(won == 1).alias("second_wins"), (F.sum(F.round((F.col("nd0") - F.col("nd1")) * 10000).cast("long")) / (F.count("*") * F.lit(10000.0))).alias("mean_delta"))
 
 
 def _grams_sql(name: str, source: str, key: str, words: str, lengths) -> str:
@@ -443,12 +444,12 @@ def j1(spark, sf):
     return G.with_speakers(t, sc2(spark, sf)).select("event_id", "speaker_id")
 
 
-NEAR = 8  # of the SQL alone, too
+NEAR = 600
 
 
 def _penalised(extra: str) -> str:
-    return f"""WITH {LOC_SQL}, bounds AS (SELECT *, greatest(0, expected - {NEAR}) AS lo, array_to_string(hyp, ' ') AS h, CASE WHEN len(hyp) >= 3 THEN least(10, len(hyp) // 3) ELSE 0 END AS k FROM loc WHERE n > 0),
-spans AS (SELECT *, greatest(least(len(ref) - n + 1, expected + {NEAR}), lo + 1) AS hi, least(n, len(ref) - lo) AS width FROM bounds),
+    return f"""WITH {LOC_SQL}, bounds AS (SELECT *, greatest(0, expected - {BACK}) AS lo, array_to_string(hyp, ' ') AS h, CASE WHEN len(hyp) >= 3 THEN least(10, len(hyp) // 3) ELSE 0 END AS k FROM loc WHERE n > 0),
+spans AS (SELECT *, greatest(least(len(ref) - n + 1, expected + {FORWARD}), lo + 1) AS hi, least(n, len(ref) - lo) AS width FROM bounds),
 places AS (SELECT file_no, chunk_index, h, hyp, k, width, expected, ref, unnest(range(lo, hi)) AS p FROM spans),
 ends AS (SELECT *, array_to_string(hyp[1:k], ' ') AS h1, array_to_string(ref[p + 1:p + k], ' ') AS r1, array_to_string(hyp[len(hyp) - k + 1:len(hyp)], ' ') AS h2, array_to_string(ref[p + width - k + 1:p + width], ' ') AS r2 FROM places),
 eff AS (SELECT file_no, chunk_index, p, levenshtein(h, array_to_string(ref[p + 1:p + width], ' '))::DOUBLE + {extra} AS e FROM ends),

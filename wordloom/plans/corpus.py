@@ -14,7 +14,7 @@ from wordloom.operators import segments as G
 from wordloom.operators import sequences as S
 from wordloom.operators import splits as P
 from wordloom.plans import derive as D
-from wordloom.plans.alignment import _BOTH, _SEGMENTS, _segments
+from wordloom.plans.alignment import _BOTH, _SEGMENTS, DAYS, _segments
 from wordloom.plans.derive import CHUNKS_SQL, TIMELINE_SQL, edits_sql, eval_sql, table
 from wordloom.plans.scoring import _SCORE, _SCORED
 
@@ -242,7 +242,7 @@ def x1(spark, sf):
 
 def _timeline_chunks(spark, sf):
     t, c = D.timeline(spark, sf), D.chunks(spark, sf)
-    return J.overlaps(t, c, "file_no", ("start_abs", "start_abs"), ("start_s", "end_s")), c
+    return J.overlaps(t, c, "file_no", ("start_abs", "start_abs"), ("start_s", "end_s"), DAYS), c
 
 
 _WORDS_IN = f"WITH {TIMELINE_SQL}, {CHUNKS_SQL}, w AS (SELECT t.*, chunk_index FROM timeline t JOIN chunks c ON t.file_no = c.file_no AND start_s < start_abs AND end_s > start_abs) "
@@ -371,7 +371,7 @@ def j9(spark, sf):
 
 @query("J15_enriched_chunks", _BOTH + "SELECT s.file_no, seg_index, count(*) AS source_chunks, min(chunk_index) AS first_chunk, round(min(greatest(start_abs, start_s) - start_s), 4) AS first_in_chunk FROM segments s JOIN chunks c ON s.file_no = c.file_no AND start_s < end_abs AND end_s > start_abs GROUP BY ALL")
 def j15(spark, sf):
-    o = J.overlaps(_segments(spark, sf), D.chunks(spark, sf), "file_no", bucket_s=3 * 86_400.0)
+    o = J.overlaps(_segments(spark, sf), D.chunks(spark, sf), "file_no", bucket_s=DAYS)
     at = F.greatest("start_abs", "start_s") - F.col("start_s")
     return o.groupBy("file_no", "seg_index").agg(F.count("*").alias("source_chunks"), F.min("chunk_index").alias("first_chunk"), F.round(F.min(at), 4).alias("first_in_chunk"))
 

@@ -6,15 +6,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wordloom.functions import text as T
+from wordloom.sources.readers import table
 
 NUMBERS = ("two", "seventh", "hundred", "12", "dozen", "first", "lakh")
 GAP, MIN_SEGMENT, MICRO0 = 28_800.0, 3_600.0, 1_704_067_200_000_000
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 UTTERANCE = 16
 
 

@@ -13,6 +13,18 @@ from pyspark.sql import functions as F
 from wordloom.functions import text as T
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deals rows out evenly where a scan has fewer splits than the cluster has cores (a small file of one row group); a scan
+    of many splits stays as it is, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the parquet tables of a folder."""
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
 def transcripts(spark: SparkSession, path: str) -> DataFrame:
     """SC1: file_no, value; the number comes from the file's name."""
     t = spark.read.text(path, wholetext=True).withColumn("name", F.input_file_name())
@@ -65,30 +77,92 @@ def label_files(spark: SparkSession, path: str) -> DataFrame:
     return labels(t)
 
 
-def wav_info(head: bytes) -> tuple[int, int, int, int]:
-    """Rate, channels, bits and data bytes from a RIFF header."""
+class ShortHeader(ValueError):
+    """More bytes are needed to find the samples."""
+
+
+def wav_layout(head: bytes) -> tuple[int, int, int, int, int]:
+    """Rate, channels, bits, data bytes and where the data begin, by walking the chunks of a RIFF file."""
     if head[:4] != b"RIFF" or head[8:12] != b"WAVE":
         raise ValueError("no WAV file")
     at, rate, channels, bits = 12, 0, 0, 0
     while at + 8 <= len(head):
         name, size = head[at : at + 4], struct.unpack_from("<I", head, at + 4)[0]
         if name == b"fmt ":
+            if at + 24 > len(head):
+                break
             _, channels, rate, _, _, bits = struct.unpack_from("<HHIIHH", head, at + 8)
         elif name == b"data":
-            return rate, channels, bits, size
+            if not rate:
+                raise ValueError("no format before the data")
+            return rate, channels, bits, size, at + 8
         at += 8 + size + size % 2
-    raise ValueError("no data chunk")
+    raise ShortHeader("no data chunk")
+
+
+def wav_info(head: bytes) -> tuple[int, int, int, int]:
+    """Rate, channels, bits and data bytes from a RIFF header."""
+    return wav_layout(head)[:4]
+
+
+def wav_files(spark: SparkSession, path: str) -> DataFrame:
+    """SC7: path and content of the WAV files below a path."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.wav").load(path).select("path", "content")
+
+
+def _opened(path: str):
+    """A file as a random-access stream."""
+    from pyarrow import fs
+
+    store, inner = fs.FileSystem.from_uri(path)
+    return store.open_input_file(inner)
+
+
+def _layout_of(stream) -> tuple[int, int, int, int, int]:
+    """The layout from as much of a file as its chunks before the data take."""
+    size, want = stream.size(), 4096
+    while True:
+        try:
+            return wav_layout(stream.read_at(min(want, size), 0))
+        except ShortHeader:
+            if want >= size:
+                raise
+            want *= 8
 
 
 def wav_durations(spark: SparkSession, path: str) -> DataFrame:
-    """SC8: path and seconds from each file's header."""
+    """SC8: path and seconds of each file. Spark lists the files; tasks open them and read headers only."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(p, *wav_info(bytes(c[:4096]))) for p, c in zip(b["path"], b["content"], strict=True)]
-            yield pd.DataFrame([(p, size / (rate * channels * bits // 8)) for p, rate, channels, bits, size in rows], columns=["path", "seconds"])
+            rows = []
+            for p in b["path"]:
+                with _opened(p) as stream:
+                    rate, channels, bits, size, _ = _layout_of(stream)
+                rows.append((p, size / (rate * channels * bits // 8)))
+            yield pd.DataFrame(rows, columns=["path", "seconds"])
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.wav").load(path)
+    return files.select("path").mapInPandas(read, "path string, seconds double")
+
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(read, "path string, seconds double")
+def wav_ranges(rows: DataFrame, path: str = "path", start: str = "start_sample", stop: str = "stop_sample") -> DataFrame:
+    """SC9: rows with `pcm`, the 16-bit samples of [start, stop) of a mono file; only that range is read."""
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema), "pcm binary"])
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            found = []
+            for p, i, j in zip(b[path], b[start], b[stop], strict=True):
+                with _opened(p) as stream:
+                    _, channels, bits, size, at = _layout_of(stream)
+                    if channels != 1 or bits != 16:
+                        raise ValueError(f"{p}: {channels} channels, {bits} bits; expected mono, 16 bits")
+                    i, j = max(0, int(i)) * 2, min(int(j) * 2, size)
+                    found.append(bytes(stream.read_at(max(0, j - i), at + i)))
+            yield b.assign(pcm=found)
+
+    return rows.mapInPandas(read, schema)
 
 
 def in_range(rows: DataFrame, start: int, end: int, file: str = "file_no") -> DataFrame:
