@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wordloom.sources import readers
+
 #: A word is a run of characters other than ASCII white space.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 #: The same in DuckDB's dialect.
@@ -20,8 +22,7 @@ WORD_SQL = r"'[^\x20\x09-\x0D]+'"
 _scratch: list[tuple[SparkSession, str]] = []
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+read_table = readers.table
 
 
 def free_names(df: DataFrame, *wanted: str) -> list[str]:
