@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import collections
 import random
 
 import numpy as np
@@ -13,7 +14,7 @@ from wordloom.functions import text as T
 from wordloom.operators import audio, evaluate, intervals, localize, models, segments, sequences, splits, trim
 from wordloom.operators import experiments as X
 from wordloom.operators import reports as R
-from wordloom.plans import alignment
+from wordloom.plans import alignment, records
 from wordloom.sources import readers, sinks
 from wordloom.streaming.sessions import speaker_sessions
 
@@ -322,7 +323,7 @@ def test_registered_searches_reach_600_back_and_200_forward(spark, tmp_path):
     ref = [w for t in turns for w in t]
     run = lambda name: {r.chunk_index: r for r in alignment.QUERIES[name](spark, str(tmp_path)).collect()}
     plain, penalised, bounded, anchored, best, replay = (run(q) for q in ("L2_window_match", "L2a_overlap_penalty", "L2b_boundary_penalty", "L2c_anchor_bonus", "L4_best_option", "L10_replay"))
-    deltas = []
+    deltas, winners = [], []
     for c, words in enumerate(turns, 1):
         expected, n = sum(map(len, turns[: c - 1])), len(words)
         places = range(max(0, expected - 600), max(min(len(ref) - n + 1, expected + 200), max(0, expected - 600) + 1))
@@ -357,6 +358,147 @@ def test_registered_searches_reach_600_back_and_200_forward(spark, tmp_path):
         won = int(nds[1] <= nds[0])
         assert (best[c].option, best[c].start_idx, best[c].nd) == (won, found[won], nds[won]) and replay[c].first_start == found[won]
         deltas.append(nds[0] - nds[1])
+        options = list(dict.fromkeys(" ".join(o) for o in options))
+        winners.append("single_option" if len(options) == 1 else "second" if won else "first")
     assert plain[3].start_idx == best[3].start_idx == 0 and penalised[1].start_idx == 45
+    counted = {(r.winner, r.chunks) for r in records.QUERIES["L11_chunk_winners"](spark, str(tmp_path)).collect()}
+    assert counted == set(collections.Counter(winners).items())
     won = alignment.QUERIES["A19_winner_counts"](spark, str(tmp_path)).collect()
     assert [(r.chunks, r.second_wins) for r in won] == [(4, sum(x >= 0 for x in deltas))] and won[0].mean_delta == pytest.approx(sum(deltas) / 4)
+
+
+def test_replay_and_stages_equal_a_plain_version(spark, tmp_path):
+    """Two conversations, one that says a passage twice, so that its later chunks drift; each stage by lists."""
+    rng = random.Random(21)
+    word = lambda: rng.choice("bcdfgklmn") + rng.choice("aeiou") + rng.choice("rstvz") + rng.choice("aeiou")
+    turns = {f: [[word() for _ in range(rng.randint(8, 20))] for _ in range(9)] for f in (1, 2)}
+    turns[1][5] = turns[1][1]
+    rows = [(f, t, "user", " ".join(w)) for f, x in turns.items() for t, w in enumerate(x)]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    replay = records.replayed(spark, str(tmp_path))
+    got = {(r.file_no, r.chunk_index): r for r in replay.collect()}
+    best = {(r.file_no, r.chunk_index): r for r in alignment.QUERIES["L4_best_option"](spark, str(tmp_path)).collect()}
+    assert set(got) == set(best) and all((got[k].start_idx, got[k].end_idx, got[k].nd) == (best[k].start_idx, best[k].end_idx, best[k].nd) for k in got)
+    for f in turns:
+        order = sorted(k for k in got if k[0] == f)
+        near = [got[k].nd for k in order]
+        smooth = [sum(near[max(0, i - 1) : i + 2]) / len(near[max(0, i - 1) : i + 2]) for i in range(len(near))]
+        state, states = "low", []
+        for x in smooth:
+            state = "high" if x >= 0.55 else "low" if x <= 0.45 else state
+            states.append(state)
+        drifting = {i for i in range(len(order)) if states[i] == "high" and (states[i - 1 : i] == ["high"] or states[i + 1 : i + 2] == ["high"])}
+        for i, k in enumerate(order):
+            r = got[k]
+            if i not in drifting:
+                assert not r.resynced
+            if not r.resynced:
+                assert (r.new_start, r.new_end) == (r.start_idx, r.end_idx)
+    ref = {f: [w for t in x for w in t] for f, x in turns.items()}
+    want = collections.defaultdict(lambda: [0, 0])
+    for f in turns:
+        order = sorted(k for k in got if k[0] == f)
+        for i, k in enumerate(order):
+            r = got[k]
+            before, after = (got[order[i - 1]].new_end if i else 0), (got[order[i + 1]].new_start if i + 1 < len(order) else len(ref[f]))
+            lo, hi = max(min(before, r.new_start), r.new_start - 5), min(max(after, r.new_end), r.new_end + 5)
+            stage = {"pass1": ref[f][r.start_idx : r.end_idx], "resync": ref[f][r.new_start : r.new_end], "pass2": ref[f][lo:hi]}
+            stage["tailtrim"] = plain_trim(stage["pass2"], set(r.hyp), True)
+            stage["headtrim"] = plain_trim(stage["tailtrim"], set(r.hyp), False)
+            for name, words in stage.items():
+                ids = {w: chr(256 + n) for n, w in enumerate(dict.fromkeys([*words, *r.hyp]))}
+                for key in ((f, name), (None, name)):
+                    want[key][0] += plain_distance("".join(map(ids.get, words)), "".join(map(ids.get, r.hyp)))
+                    want[key][1] += len(r.hyp)
+    found = {(r.file_no, r.stage): [r.edits, r.asr_words] for r in records.QUERIES["A18_replayed_stages"](spark, str(tmp_path)).collect()}
+    assert found == dict(want)
+
+
+def plain_trim(words, heard, tail):
+    scores, best = [0.9 if w in heard else 0.1 for w in words], None
+    n = len(scores)
+    for i in range(5, n - 4):
+        left, right = sum(scores[:i]) / i, sum(scores[i:]) / (n - i)
+        contrast, side = (left - right, right) if tail else (right - left, left)
+        if best is None or contrast > best[0] + 1e-12:
+            best = contrast, side, i
+    top = sorted(scores, reverse=True)[: max(1, n // 2)]
+    mean = sum(top) / len(top) if top else 0
+    if best and n >= 10 and mean >= 0.5 and best[0] > 0.3 and best[1] < min(0.35, 0.45 * mean):
+        return words[: best[2]] if tail else words[best[2] :]
+    return words
+
+
+def test_audio_frames(spark, tmp_path):
+    chunks = [(1, 0, 0.0, 1.0), (1, 1, 1.5, 2.0), (2, 0, 0.0, 0.5)]
+    pcm = {(f, i): (np.arange(round((e - s) * 10)) + 100 * i + 1000 * f).astype("<i2") for f, i, s, e in chunks}
+    c = spark.createDataFrame([(*x, bytearray(pcm[x[:2]].tobytes())) for x in chunks], "file_no int, chunk_index int, start_s double, end_s double, pcm binary")
+    s = spark.createDataFrame([(1, 0, 0.5, 1.7), (1, 1, 1.1, 1.4), (2, 0, 0.0, 9.0)], "file_no int, seg_index int, start_abs double, end_abs double")
+    got = {(r.file_no, r.seg_index): np.frombuffer(bytes(r.pcm), "<i2").tolist() for r in audio.spliced(s, c, rate=10).collect()}
+    assert got == {(1, 0): [1005, 1006, 1007, 1008, 1009, 1100, 1101], (2, 0): [2000, 2001, 2002, 2003, 2004]}
+    spans = spark.createDataFrame([(2, 0.1, 0.3), (2, 0.4, 9.0)], "file_no int, start_s double, end_s double")
+    assert sorted(np.frombuffer(bytes(r.pcm), "<i2").tolist() for r in audio.cut(c.where("file_no = 2").select("file_no", "pcm"), spans, "file_no", rate=10).collect()) == [[2001, 2002], [2004]]
+    plan = c.where("file_no = 2").withColumn("plan", F.array(F.struct(F.lit(0.1).alias("start"), F.lit(0.3).alias("end"))))
+    assert np.frombuffer(bytes(audio.masked(plan, rate=10).first().pcm), "<i2").tolist() == [2000, 0, 0, 2003, 2004]
+    raw = audio.write_wav(np.zeros(16000, np.float32))
+    listed = raw[:36] + b"LIST" + (8).to_bytes(4, "little") + b"datadata" + raw[36:]  # a chunk that holds the name of another
+    assert len(audio.read_wav(listed)) == 16000
+    (tmp_path / "b.wav").write_bytes(raw[:36] + b"LIST" + (9000).to_bytes(4, "little") + b"x" * 9000 + raw[36:])
+    assert readers.wav_durations(spark, f"file://{tmp_path}").first().seconds == 1.0
+    with pytest.raises(ValueError):
+        readers.wav_layout(b"RIFF0000WAVEdata" + b"\0" * 8)
+
+
+def test_merged_regions_and_failing_aligner(spark):
+    regions = lambda *x: F.array(*[F.struct(F.lit(a).alias("start"), F.lit(b).alias("end")) for a, b in x])
+    merged = lambda *x: [(r.start, r.end) for r in one(spark, models.merged_regions(regions(*x), 10.0), a=1)]
+    assert merged((0.0, 3.0), (4.0, 9.0), (9.5, 12.0), (30.0, 50.0), (51.0, 52.0)) == [(0.0, 9.0), (9.5, 12.0), (30.0, 50.0), (51.0, 52.0)]
+    none = F.array().cast("array<struct<start:double,end:double>>")
+    assert one(spark, models.merged_regions(none), a=1) == []
+
+    def broken(batch):
+        if (batch["text"] == "bad").any():
+            raise RuntimeError("no")
+        return models.fake_aligner(batch)
+
+    rows = spark.createDataFrame([(1, "a b", 1.0), (2, "bad", 1.0), (3, "c", 1.0)], "i int, text string, duration double").coalesce(1)
+    assert {r.i: len(r.words) for r in models.align(rows, broken).collect()} == {1: 2, 2: 0, 3: 1}
+
+
+def test_comparison_of_experiments(spark, tmp_path):
+    e = spark.createDataFrame([("a", 0, "m", "v", 0.4, True, "g1", 0.3), ("b", 1, "m", "v", None, True, "g2", 0.2), ("c", 2, "other", "v", None, True, "g2", None)], "experiment string, position int, manifest_md5 string, normalizer string, conf_filter_threshold double, padded boolean, gpu string, corpus_wer double")
+    r = spark.createDataFrame([("a", "f", "s", 0.5, 10), ("b", "f", "s", 0.25, 10), ("b", "f", "t", 0.1, 4)], "experiment string, file string, speaker string, corpus_wer double, ref_words int")
+    found = X.compare(e, r, ["b"], baseline="a")
+    assert found.names == ["a", "b"] and {(x.file, x.speaker, x.delta_b) for x in found.speakers.collect()} == {("f", "s", -0.25), ("f", "t", None)}
+    assert X.compare(e, r, ["a", "c"]).speakers is None
+    record = X.comparison_record(found, "cmp", "now", command=X.reproduce_command(["python", "-m", "x"], {"exps": ["a", "b c"], "dry_run": True, "none": None}))
+    assert [x["experiment"] for x in record["rows"]] == ["b", "a"] and record["reproduce_command"] == "python -m x --exps a 'b c' --dry-run"
+    assert "-10.00" in X.comparison_summary(record) and set(record["git"]) >= {"commit", "dirty"}
+    with pytest.raises(LookupError):
+        X.compare(e, r, ["zz"])
+    (tmp_path / "a.metadata.json").write_text('{"experiment": "a", "corpus_wer": 0.5}')
+    stored = X.stored_experiments(spark, f"file://{tmp_path}", ["a"], "experiment string, corpus_wer double").first()
+    assert stored.corpus_wer == 0.5 and len(stored.metadata_md5) == 32
+    with pytest.raises(LookupError):
+        X.stored_experiments(spark, f"file://{tmp_path}", ["a", "b"], "experiment string")
+    assert {"python", "spark", "platform"} <= set(X.fingerprint())
+    n = spark.createDataFrame([("a", 0, 5, 8, 2), ("b", 1, 5, 9, 0)], "experiment string, position int, total_segments int, ref_num_total int, wrong_num int")
+    assert {(x.experiment, x.wrong_pct, x.differs) for x in X.number_consistency(n).collect()} == {("a", 25.0, False), ("b", 0.0, True)}
+
+
+def test_alignment_of_long_pairs_is_the_same_and_small(spark, monkeypatch):
+    rng = random.Random(8)
+    for _ in range(60):
+        ref, hyp = ([rng.choice("abc") for _ in range(rng.randint(0, 40))] for _ in range(2))
+        monkeypatch.setattr(E, "SMALL", 4096)
+        small = E.align_words(ref, hyp)
+        monkeypatch.setattr(E, "SMALL", 0)
+        assert E.align_words(ref, hyp) == small
+        assert sum(o[0] != "equal" for o in small) == plain_distance("".join(ref), "".join(hyp))
+    import tracemalloc
+
+    ref, hyp = ([str(rng.randint(0, 3000)) for _ in range(6000)] for _ in range(2))
+    tracemalloc.start()
+    E.align_words(ref, hyp)
+    assert tracemalloc.get_traced_memory()[1] < 100e6
+    tracemalloc.stop()

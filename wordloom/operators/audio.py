@@ -119,6 +119,7 @@ def write_wavs(rows: DataFrame, folder: str, name: str = "name", rate: int = RAT
 
 def masked(rows: DataFrame, plan: str = "plan", rate: int = RATE) -> DataFrame:
     """AU1 on a DataFrame: `pcm` with the spans of the plan column (see `intervals.silence_plan`) zeroed."""
+    columns = list(rows.columns)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -128,6 +129,6 @@ def masked(rows: DataFrame, plan: str = "plan", rate: int = RATE) -> DataFrame:
                 for s in spans:
                     x[int(s["start"] * rate) : int(s["end"] * rate)] = 0
                 out.append(x.tobytes())
-            yield b.assign(pcm=out)[list(rows.columns)]
+            yield b.assign(pcm=out)[columns]
 
     return rows.mapInPandas(run, rows.schema)

@@ -8,7 +8,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 WORDS = "array<struct<word:string,start:double,end:double,score:double>>"
 
@@ -29,7 +30,40 @@ def transcribe(rows: DataFrame, model) -> DataFrame:
 
 
 def align(rows: DataFrame, model) -> DataFrame:
-    return apply_model(rows, model, f"words {WORDS}")
+    """M4: words with times; a row that the model fails on has none, and the others of its batch keep theirs."""
+
+    def one_by_one(batch: pd.DataFrame) -> pd.DataFrame:
+        try:
+            return model(batch)
+        except Exception:  # noqa: BLE001  whatever the model raises belongs to a row
+            words = []
+            for i in range(len(batch)):
+                try:
+                    words.append(model(batch.iloc[[i]])["words"].iloc[0])
+                except Exception:  # noqa: BLE001
+                    words.append([])
+            return batch.assign(words=pd.Series(words, index=batch.index, dtype=object))
+
+    return apply_model(rows, one_by_one, f"words {WORDS}")
+
+
+def merged_regions(regions: Column, chunk_s: float = 30.0) -> Column:
+    """M1: speech regions (start, end), in order -> chunks of at most `chunk_s` seconds: a region that would make the chunk longer
+    begins the next one. A region longer than that is a chunk of its own."""
+    kind = "struct<done:array<struct<start:double,end:double>>,start:double,end:double>"
+    chunk = lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))
+
+    def step(state: Column, r: Column) -> Column:
+        full = (r["end"] - state["start"] > chunk_s) & (state["end"] > state["start"])
+        opened = F.struct(F.concat(state["done"], F.array(chunk(state))).alias("done"), r["start"].cast("double").alias("start"), r["end"].cast("double").alias("end"))
+        longer = F.struct(state["done"].alias("done"), state["start"].alias("start"), r["end"].cast("double").alias("end"))
+        return F.when(full, opened).otherwise(longer).cast(kind)
+
+    none = F.array().cast("array<struct<start:double,end:double>>")
+    first = F.coalesce(F.get(regions, F.lit(0))["start"].cast("double"), F.lit(0.0))
+    start = F.struct(none.alias("done"), first.alias("start"), F.lit(0.0).alias("end")).cast(kind)
+    merged = F.aggregate(regions, start, step, lambda s: F.concat(s["done"], F.array(chunk(s))))
+    return F.when(F.size(regions) > 0, merged).otherwise(none)
 
 
 def fake_transcriber(batch: pd.DataFrame) -> pd.DataFrame:

@@ -71,6 +71,11 @@ def wer_by_winner(rows: DataFrame, chunk_counts: DataFrame) -> DataFrame:
     )
 
 
+def unmapped(rows: DataFrame, mapped: DataFrame, key: str = "seg_index") -> DataFrame:
+    """How many rows no chunk could be found for."""
+    return rows.join(mapped.select(key).withColumn("__found", F.lit(True)), key, "left").agg(F.count("*").alias("segments"), F.count_if(F.col("__found").isNull()).alias("unmapped"))
+
+
 def stage_proxy_wer(stages: DataFrame, file: str = "file_no") -> DataFrame:
     """Stages: file, stage, ref and hyp (arrays): edits over recognised words by file and for the corpus (no file)."""
     from wordloom.functions import edit as E

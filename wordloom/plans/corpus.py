@@ -194,11 +194,18 @@ def a25(spark, sf):
 EXPERIMENTS = {"base": (11, "gpu_a", 0.4), "tuned": (7, "gpu_a", 0.4), "tuned_lm": (5, "gpu_b", None)}
 
 
+def manifest(rows):
+    """One row: a digest of what was tested (how many rows and reference words, first and last name)."""
+    parts = [F.count("*").cast("string"), F.sum(F.size("ref")).cast("string"), F.min("audio_filepath"), F.max("audio_filepath")]
+    return rows.agg(F.md5(F.concat_ws("|", *parts).cast("binary")).alias("manifest_md5"))
+
+
 def _experiments(spark, sf):
     out = None
     for i, (name, (drop, gpu, threshold)) in enumerate(EXPERIMENTS.items()):
-        s = V.corpus_wer(D.eval_rows(spark, sf, drop=drop)).select("corpus_wer", "mean_utt_wer", "n_scored")
-        s = s.select(F.lit(name).alias("experiment"), F.lit(i).cast("long").alias("position"), F.lit("m1").alias("manifest_md5"), F.lit("v1").alias("normalizer"), F.lit(threshold).cast("double").alias("conf_filter_threshold"), F.lit(True).alias("padded"), F.lit(gpu).alias("gpu"), "*")
+        rows = D.eval_rows(spark, sf, drop=drop)
+        s = V.corpus_wer(rows).select("corpus_wer", "mean_utt_wer", "n_scored").crossJoin(F.broadcast(manifest(rows)))  # one row by one
+        s = s.select(F.lit(name).alias("experiment"), F.lit(i).cast("long").alias("position"), F.lit("v1").alias("normalizer"), F.lit(threshold).cast("double").alias("conf_filter_threshold"), F.lit(True).alias("padded"), F.lit(gpu).alias("gpu"), "*")
         out = s if out is None else out.union(s)
     return out
 
@@ -210,7 +217,12 @@ _EXPS = "WITH " + ", ".join(eval_sql(f"rows_{n}", drop=d) for n, (d, _, _) in EX
 ) + ") "
 
 
-@query("A22_comparability", "SELECT TRUE AS same_manifest_md5, TRUE AS same_normalizer, FALSE AS same_conf_filter_threshold, TRUE AS same_padded, FALSE AS same_gpu, TRUE AS wer_comparable, FALSE AS time_comparable")
+_META = _EXPS + ", meta AS (" + " UNION ALL ".join(
+    f"SELECT '{n}' AS experiment, md5(concat_ws('|', CAST(count(*) AS VARCHAR), CAST(sum(len(ref)) AS VARCHAR), min(audio_filepath), max(audio_filepath))) AS manifest_md5, '{g}' AS gpu, CAST({'NULL' if t is None else t} AS DOUBLE) AS threshold FROM rows_{n}" for n, (_, g, t) in EXPERIMENTS.items()
+) + ") "
+
+
+@query("A22_comparability", _META + "SELECT count(DISTINCT manifest_md5) = 1 AS same_manifest_md5, TRUE AS same_normalizer, count(DISTINCT coalesce(CAST(threshold AS VARCHAR), 'none')) = 1 AS same_conf_filter_threshold, TRUE AS same_padded, count(DISTINCT gpu) = 1 AS same_gpu, count(DISTINCT manifest_md5) = 1 AS wer_comparable, count(DISTINCT gpu) = 1 AS time_comparable FROM meta")
 def a22(spark, sf):
     return X.comparability(_experiments(spark, sf))
 
@@ -220,16 +232,21 @@ def w14(spark, sf):
     return X.ranked(_experiments(spark, sf), "base").select("experiment", "rank", "corpus_wer", "delta")
 
 
+def results(spark, sf):
+    """WER of each speaker in each experiment."""
+    out = None
+    for n, (drop, _, _) in EXPERIMENTS.items():
+        s = V.corpus_wer(D.eval_rows(spark, sf, drop=drop), "file", "speaker").select(F.lit(n).alias("experiment"), "file", "speaker", "corpus_wer", "ref_words")
+        out = s if out is None else out.union(s)
+    return out
+
+
 _SPK = _EXPS + ", u AS (" + " UNION ALL ".join(f"SELECT '{n}' AS experiment, file, speaker, sum(edits) / nullif(sum(ref_words), 0)::DOUBLE AS wer, CAST(sum(ref_words) AS BIGINT) AS ref_words FROM s_{n} GROUP BY ALL" for n in EXPERIMENTS) + "), v AS (SELECT file, speaker, max(ref_words) AS ref_words, " + ", ".join(f"max(wer) FILTER (experiment = '{n}') AS {n}" for n in EXPERIMENTS) + " FROM u GROUP BY file, speaker) "
 
 
 @query("J13_per_speaker_delta", _SPK + "SELECT file, speaker, ref_words, round(base, 6) AS wer_base, round(tuned, 6) AS wer_tuned, round(tuned_lm, 6) AS wer_tuned_lm, round(tuned - base, 6) AS delta_tuned, round(tuned_lm - base, 6) AS delta_tuned_lm FROM v")
 def j13(spark, sf):
-    out = None
-    for n, (drop, _, _) in EXPERIMENTS.items():
-        s = V.corpus_wer(D.eval_rows(spark, sf, drop=drop), "file", "speaker").select(F.lit(n).alias("experiment"), "file", "speaker", "corpus_wer", "ref_words")
-        out = s if out is None else out.union(s)
-    return X.per_speaker(out, list(EXPERIMENTS), "base")
+    return X.per_speaker(results(spark, sf), list(EXPERIMENTS), "base")
 
 
 @query("X1_experiment_record")

@@ -19,6 +19,29 @@ def json_documents(rows: DataFrame, key: str) -> DataFrame:
     return rows.select(key, F.to_json(F.struct(*[c for c in rows.columns if c != key])).alias("document"))
 
 
+def text_documents(rows: DataFrame, folder: str, name: str = "name", value: str = "value") -> DataFrame:
+    """SK1: a file for each row of (name, value) below a folder that all executors share; the paths. Files are written aside and
+    moved, so a repeated attempt leaves whole ones."""
+
+    def write(batches):
+        import uuid
+
+        import pandas as pd
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(folder)
+        store.create_dir(root, recursive=True)
+        for b in batches:
+            for n, text in zip(b[name], b[value], strict=True):
+                own = f"{root}/_{uuid.uuid4().hex}"
+                with store.open_output_stream(own) as out:
+                    out.write((text or "").encode())
+                store.move(own, f"{root}/{n}")
+            yield pd.DataFrame({"path": [f"{folder.rstrip('/')}/{n}" for n in b[name]]})
+
+    return rows.select(name, value).mapInPandas(write, "path string")
+
+
 def csv_rows(rows: DataFrame, path: str, columns=None, sep: str = ",") -> None:
     """SK3, SK4: the named columns with a header, others are left out."""
     (rows.select(*columns) if columns else rows).write.mode("overwrite").option("header", "true").option("sep", sep).option("escape", '"').csv(path)
