@@ -3,8 +3,8 @@
 The mix holds `share` of all words. Each source gets a part by its weight; a target stops at `most` times its source's
 size, and the excess is shared again by weight until none is above. A target of b whole sizes and a rest takes every
 document b times, and once more the documents whose 60-bit hash lies below the source's threshold. The thresholds come
-from nested histograms: words are summed by source and hash bucket (32768), the bucket in which the running sum passes
-the rest is found, and only that bucket is refined, four times. Rows are never sorted; what is sorted are at most 32768
+from nested histograms: words are summed by source and hash bucket (1024), the bucket in which the running sum passes
+the rest is found, and only that bucket is refined, six times. Rows are never sorted; what is sorted are at most 1024
 bucket sums of a source. The hash covers id and text, so reruns agree.
 
 Rows equal in id, text and source share a hash. Where the threshold falls among them, they are told apart by a hash of
@@ -29,8 +29,8 @@ from wordloom.llm.common import WORD_PATTERN, WORD_SQL, free_names, materialize,
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
-LEVELS, BITS = 4, 15
-TWIN_LEVELS = 3
+LEVELS, BITS = 6, 10
+TWIN_LEVELS = 4
 
 
 def _hash(id_col: str, text_col: str) -> Column:
