@@ -208,10 +208,16 @@ def read_archive(raw: bytes, on_error: str = "raise") -> Iterator[dict]:
 
 
 def train_dictionary(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> bytes:
-    """From the DICT_PAGES pages with the smallest hashes of id, url and payload length, so reruns train on the same ones."""
-    sample = pages.select(F.xxhash64(F.col(id_col).cast("string"), F.col(url_col).cast("string"), F.octet_length(F.col(html_col).cast("string"))).alias("k"), F.col(html_col).cast("string").alias("h"))
-    sample = sample.where(F.octet_length("h").between(64, DICT_PAGE_BYTES)).orderBy("k", F.sha1(F.col("h").cast("binary")))
-    texts = [r.h.encode() for r in sample.limit(DICT_PAGES).collect()]
+    """From DICT_PAGES pages with small hashes of id, url and length, so reruns train on the same ones.
+
+    Pages are drawn by a threshold on the hash that lets about twice as many through, so the driver gets that many at most,
+    whatever the number of partitions; rows with the same hash count once.
+    """
+    key = F.xxhash64(F.col(id_col).cast("string"), F.col(url_col).cast("string"), F.octet_length(F.col(html_col).cast("string")))
+    sample = pages.select(F.pmod(key, F.lit(1 << 40)).alias("k"), F.col(html_col).cast("string").alias("h")).where(F.octet_length("h").between(64, DICT_PAGE_BYTES))
+    below = (2 * DICT_PAGES << 40) // max(1, sample.count())
+    drawn = sample.where(F.col("k") < below).groupBy("k").agg(F.min("h").alias("h")).orderBy("k")
+    texts = [r.h.encode() for r in drawn.limit(DICT_PAGES).collect()]
     records = [make_record(i, "https://www.example.org/", t) for i, t in enumerate(texts)]
     try:
         return zstandard.train_dictionary(DICT_SIZE, records).as_bytes() if len(records) >= 8 else b""
