@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wordloom.config import DEFAULTS
+from wordloom.functions import edit as E
 from wordloom.functions import text as T
 from wordloom.operators import evaluate as V
 from wordloom.operators import experiments as X
@@ -14,7 +15,7 @@ from wordloom.operators import segments as G
 from wordloom.operators import sequences as S
 from wordloom.operators import splits as P
 from wordloom.plans import derive as D
-from wordloom.plans.alignment import _BOTH, _SEGMENTS, DAYS, _segments
+from wordloom.plans.alignment import _BOTH, _SEGMENTS, DAYS, LOC_SQL, _segments, loc_chunks
 from wordloom.plans.derive import CHUNKS_SQL, TIMELINE_SQL, edits_sql, eval_sql, table
 from wordloom.plans.scoring import _SCORE, _SCORED
 
@@ -143,9 +144,20 @@ def _win_chunks(spark):
     return c.select("file", "chunk_index", (F.col("chunk_index") * 30.0).alias("start_s"), (F.col("chunk_index") * 30.0 + 28).alias("end_s"), R.winner_bucket(F.col("options"), F.col("chosen")).alias("winner"))
 
 
-@query("L11_option_lineage", "SELECT format('audio_file_{:03d}', f) AS file, ci AS chunk_index, CASE WHEN ci % 5 = 0 THEN 'single_option' WHEN ci % 3 = 1 THEN 'second' ELSE 'first' END AS winner FROM (SELECT f, unnest(range(0, 32)) AS ci FROM (SELECT unnest(range(20)) AS f))")
+_OPTIONS = f"""WITH {LOC_SQL}, o AS (SELECT file_no, chunk_index, array_to_string(said, ' ') AS s, array_to_string(flatten(list_transform(said, lambda x, i: CASE WHEN i % 7 = 3 THEN [] ELSE [x] END)), ' ') AS a,
+  array_to_string(list_transform(said, lambda x, i: CASE WHEN i % 5 = 2 AND chunk_index % 2 = 0 THEN x || 'xxx' ELSE x END), ' ') AS b FROM loc_w),
+d AS (SELECT *, round(levenshtein(a, s) / greatest(length(a), length(s), 1)::DOUBLE, 4) AS da, round(levenshtein(b, s) / greatest(length(b), length(s), 1)::DOUBLE, 4) AS db FROM o) """
+
+
+@query("L11_option_lineage", _OPTIONS + "SELECT file_no, chunk_index, CASE WHEN a = b THEN 'single_option' WHEN db <= da THEN 'second' ELSE 'first' END AS winner FROM d")
 def l11(spark, sf):
-    return _win_chunks(spark).select("file", F.col("chunk_index").cast("long").alias("chunk_index"), "winner")
+    """Each turn's two hypotheses without repeats; the one nearer to its words is chosen, of equals the later."""
+    none = F.array().cast("array<string>")
+    a = F.flatten(F.transform("said", lambda x, i: F.when((i + 1) % 7 == 3, none).otherwise(F.array(x))))
+    b = F.transform("said", lambda x, i: F.when(((i + 1) % 5 == 2) & (F.col("chunk_index") % 2 == 0), F.concat(x, F.lit("xxx"))).otherwise(x))
+    c = loc_chunks(spark, sf).select("file_no", "chunk_index", F.array_join("said", " ").alias("s"), F.array_join(a, " ").alias("a"), F.array_join(b, " ").alias("b"))
+    chosen = F.when(E.norm_distance(F.col("b"), F.col("s")) <= E.norm_distance(F.col("a"), F.col("s")), F.col("b")).otherwise(F.col("a"))
+    return c.select("file_no", "chunk_index", R.winner_bucket(F.array_distinct(F.array("a", "b")), chosen).alias("winner"))
 
 
 @query("J14_segment_winners", _ROWS + _SCORED + _WIN + "SELECT seg_index, winner FROM sw")
@@ -391,14 +403,3 @@ def j15(spark, sf):
     o = J.overlaps(_segments(spark, sf), D.chunks(spark, sf), "file_no", bucket_s=DAYS)
     at = F.greatest("start_abs", "start_s") - F.col("start_s")
     return o.groupBy("file_no", "seg_index").agg(F.count("*").alias("source_chunks"), F.min("chunk_index").alias("first_chunk"), F.round(F.min(at), 4).alias("first_in_chunk"))
-
-
-@query("L9_gap_merge", "SELECT conv_id, turn, 5 AS n_words, 3 AS second_pass, 2.75::DOUBLE AS tail_start FROM conversations")
-def l9(spark, sf):
-    from wordloom.operators.localize import merge_gap_words
-
-    w = lambda s, p: F.struct(F.lit("w").alias("word"), F.lit(s).alias("start"), F.lit(s + 0.5).alias("end"), F.lit(0.9).alias("score"), F.lit(p).cast("int").alias("pass"))
-    words, tail, head = F.array(w(1.0, None), w(1.5, None)), F.array(w(0.25, 0), w(0.75, 0)), F.array(w(0.0, 0))
-    m = merge_gap_words(words, tail, head, F.lit(2.5))
-    c = table(spark, sf, "conversations").withColumn("m", m)
-    return c.select("conv_id", "turn", F.size("m").alias("n_words"), F.size(F.filter("m", lambda x: x["pass"] == 2)).alias("second_pass"), F.get("m", F.lit(3))["start"].alias("tail_start"))
