@@ -48,19 +48,27 @@ def nearest(points: DataFrame, marks: DataFrame, file: str, key: str, order: str
     return seen.where((F.col("is_point") == 1) & (F.col("a").isNotNull() | F.col("b").isNotNull())).select(file, F.col("k").alias(key), choice["m"].alias(order))
 
 
+def _beside(rows: DataFrame, chunks: DataFrame, file: str, order: str, cell: Column, bucket_s: float, meets: Column) -> DataFrame:
+    """Rows with the chunks of their time buckets that they meet, and once without a chunk for each bucket that has none."""
+    places = chunks.select(F.col(file).alias("__f"), order, "start_s", "end_s").withColumn("__c", _cells("start_s", "end_s", bucket_s))
+    return rows.withColumn("__b", cell).join(places, (F.col(file) == F.col("__f")) & (F.col("__b") == F.col("__c")) & meets, "left")
+
+
 def best_chunk(segments: DataFrame, chunks: DataFrame, file: str, key: str, span=("start_abs", "end_abs"), chunk_order: str = "chunk_index", bucket_s: float = BUCKET) -> DataFrame:
     """The chunk with the longest overlap (the first of equals), or else the one with the nearest centre.
 
-    Overlaps come from time buckets; only segments without one look for the nearest centre, in time order.
+    Overlaps come from time buckets; only segments without one look for the nearest centre, in time order. Segments are read
+    once: those with and without an overlap are two parts of the same sums.
     """
     s, e = F.col(span[0]), F.col(span[1])
-    rows = segments.select(file, key, *span)
-    places = chunks.select(file, chunk_order, "start_s", "end_s")
-    lap = F.least(e, F.col("end_s")) - F.greatest(s, F.col("start_s"))
-    found = overlaps(rows, places, file, span, bucket_s=bucket_s).groupBy(file, key).agg(F.min_by(chunk_order, F.struct(-lap, F.col(chunk_order))).alias(chunk_order), F.max(lap).alias("overlap"))
-    alone = rows.join(found, [file, key], "left_anti").select(file, key, ((s + e) * 0.5).alias("at"))
-    centres = places.select(file, chunk_order, ((F.col("start_s") + F.col("end_s")) * 0.5).alias("at"))
-    return found.unionByName(nearest(alone, centres, file, key, chunk_order).withColumn("overlap", F.lit(0.0)))
+    meets = (F.col("start_s") < e) & (F.col("end_s") > s) & (F.floor(F.greatest(s, F.col("start_s")) / bucket_s) == F.col("__b"))
+    each = _beside(segments.select(file, key, *span), chunks, file, chunk_order, _cells(*span, bucket_s), bucket_s, meets)
+    lap = F.when(F.col("__f").isNotNull(), F.least(e, F.col("end_s")) - F.greatest(s, F.col("start_s")))
+    rank = F.when(lap.isNotNull(), F.struct(-lap, F.col(chunk_order)))
+    best = each.groupBy(file, key).agg(F.min_by(chunk_order, rank).alias(chunk_order), F.max(lap).alias("overlap"), ((F.min(s) + F.min(e)) * 0.5).alias("at"))
+    centres = chunks.select(file, chunk_order, ((F.col("start_s") + F.col("end_s")) * 0.5).alias("at"))
+    alone = nearest(best.where("overlap is null").select(file, key, "at"), centres, file, key, chunk_order)
+    return best.where("overlap is not null").drop("at").unionByName(alone.withColumn("overlap", F.lit(0.0)))
 
 
 def chunk_of_point(words: DataFrame, chunks: DataFrame, file: str, key: str, at: str = "start_abs", chunk_order: str = "chunk_index", bucket_s: float = BUCKET) -> DataFrame:
@@ -69,13 +77,11 @@ def chunk_of_point(words: DataFrame, chunks: DataFrame, file: str, key: str, at:
     A word falls into one time bucket and a chunk into those that it touches; the others are merged with the edges.
     """
     t = F.col(at)
-    rows = words.select(file, key, at)
-    places = chunks.select(file, chunk_order, "start_s", "end_s")
-    near = rows.withColumn("__b", F.floor(t / bucket_s)).join(places.withColumn("__b", _cells("start_s", "end_s", bucket_s)), [file, "__b"])
-    found = near.where(t.between(F.col("start_s"), F.col("end_s"))).groupBy(file, key).agg(F.min(chunk_order).alias(chunk_order))
-    alone = rows.join(found, [file, key], "left_anti").select(file, key, t.alias("at"))
-    edges = places.select(file, chunk_order, F.explode(F.array("start_s", "end_s")).alias("at"))
-    return found.unionByName(nearest(alone, edges, file, key, chunk_order))
+    each = _beside(words.select(file, key, at), chunks, file, chunk_order, F.floor(t / bucket_s), bucket_s, t.between(F.col("start_s"), F.col("end_s")))
+    best = each.groupBy(file, key).agg(F.min(chunk_order).alias(chunk_order), F.min(t).alias("at"))
+    edges = chunks.select(file, chunk_order, F.explode(F.array("start_s", "end_s")).alias("at"))
+    alone = nearest(best.where(F.col(chunk_order).isNull()).select(file, key, "at"), edges, file, key, chunk_order)
+    return best.where(F.col(chunk_order).isNotNull()).drop("at").unionByName(alone)
 
 
 def silence_plan(duration: Column, regions: Column, threshold: float) -> Column:

@@ -169,7 +169,7 @@ def _with_winner(spark, sf):
     rows = D.eval_rows(spark, sf)
     a, b = T.name_times(F.col("audio_filepath"))
     rows, chunks = rows.withColumn("a", a.cast("double")).withColumn("b", b.cast("double")), _win_chunks(spark)
-    best = J.best_chunk(rows, chunks, "file", "seg_index", ("a", "b")).select("file", "seg_index", "chunk_index")
+    best = J.best_chunk(rows, chunks, "file", "seg_index", ("a", "b"), bucket_s=60.0).select("file", "seg_index", "chunk_index")
     return rows.join(best, ["file", "seg_index"]).join(chunks.select("file", "chunk_index", "winner"), ["file", "chunk_index"])
 
 

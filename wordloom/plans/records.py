@@ -184,7 +184,7 @@ def a17_unmapped(spark, sf):
     timed = rows.select("file", "seg_index", a.cast("double").alias("a"), b.cast("double").alias("b"))
     chunks = timed.where("file <> 'audio_file_007'").select("file", F.floor(F.col("a") / 30).alias("chunk_index")).distinct()
     chunks = chunks.withColumn("start_s", F.col("chunk_index") * F.lit(30.0)).withColumn("end_s", F.col("start_s") + 28)
-    return R.unmapped(rows, J.best_chunk(timed, chunks, "file", "seg_index", ("a", "b")))
+    return R.unmapped(rows, J.best_chunk(timed, chunks, "file", "seg_index", ("a", "b"), bucket_s=60.0))
 
 
 # --- models' slots ---------------------------------------------------------------------------------------------------------
