@@ -13,6 +13,7 @@ import numpy as np
 import pytest
 
 from wordloom.llm import hmm_lm as H
+from wordloom.llm import prefix_bpe
 from wordloom.llm.common import Remembered, words_of
 from wordloom.llm.html_paths import extract, extract_text
 from wordloom.llm.line_quality import assess, assess_text, clean_rows, repeat_words
@@ -145,6 +146,41 @@ def test_encoding_equals_the_library(samples):
         assert bpe.decode(ids) == lib.decode(ids, skip_special_tokens=False)
 
 
+def test_what_a_worker_knows_of_the_vocabulary_outlives_a_task(samples, monkeypatch):
+    bpe, checks = PrefixBpe.load(public_tokenizers.path("byte_bpe_50k.json")), []
+    inner = bpe._apart
+    monkeypatch.setattr(bpe, "_apart", lambda *pair: checks.append(pair) or inner(*pair))
+    first = [bpe.digest(t) for t in samples]
+    assert len(checks) == len(set(checks)) > 0
+    bpe.forget()
+    assert not bpe.known and not bpe.known.old
+    checks.clear()
+    assert [bpe.digest(t) for t in samples] == first and not checks
+
+
+def test_encoding_within_small_bounds_equals_the_library(samples, monkeypatch):
+    import tokenizers
+
+    monkeypatch.setattr(prefix_bpe, "FACTS", 40)
+    monkeypatch.setattr(prefix_bpe, "BEGINNINGS", 3)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    bpe, lib = PrefixBpe.load(path), tokenizers.Tokenizer.from_file(path)
+    for t in samples:
+        assert bpe.encode(t) == lib.encode(t, add_special_tokens=False).ids
+        assert bpe.held == sum(map(len, [*bpe.states.values(), *bpe.pairs.values()])) <= 40
+
+
+def test_the_quick_split_equals_the_pattern():
+    import regex
+
+    slow, quick = regex.compile(prefix_bpe.SPLIT), prefix_bpe.plane_split()
+    plane = [chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000]
+    rng = random.Random(3)
+    mixed = ["".join(rng.choice(["'", "s", "ll", " ", "\n", "1", "é", "!", *rng.sample(plane, 9)]) for _ in range(60)) for _ in range(500)]
+    for text in ["".join(plane), *(f"{c} {c}a{c}1{c}'{c}  {c}\t" for c in plane), *mixed]:
+        assert quick.findall(text) == slow.findall(text)
+
+
 def test_token_frames(spark):
     df = docs(spark, [(1, "hello world"), (1, "hello world"), (None, None), (2, "")])
     counter = PieceCounter(piece_scores(public_tokenizers.path("piece_bpe_32k.model")))
