@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from wordloom.functions import edit as E
 from wordloom.functions import text as T
+from wordloom.functions import windows
 from wordloom.operators import audio, evaluate, intervals, localize, models, segments, sequences, splits, trim
 from wordloom.operators import experiments as X
 from wordloom.operators import reports as R
@@ -502,3 +503,50 @@ def test_alignment_of_long_pairs_is_the_same_and_small(spark, monkeypatch):
     E.align_words(ref, hyp)
     assert tracemalloc.get_traced_memory()[1] < 100e6
     tracemalloc.stop()
+
+
+def test_window_search_is_exact_and_computes_few_distances():
+    rng = random.Random(31)
+    for _ in range(150):
+        words = [rng.choice(["aa", "ab", "ba", "c", "dd", "é"]) for _ in range(rng.randint(1, 40))]
+        width = rng.randint(0, len(words))
+        count = rng.randint(1, len(words) - width + 1)
+        at, first = rng.randrange(count), rng.randrange(count)
+        w = windows.Windows(" ".join(x for x in words[at : at + width] if rng.random() > 0.2), words, width, count)
+        extra = [rng.choice([0, 0.5, 3.0, -2.0]) for _ in range(count)]
+        away = [plain_distance(w.said, w.text(i)) for i in range(count)]
+        places = np.array(sorted(rng.sample(range(count), rng.randint(1, count))))
+        assert (w.bounds() <= away).all() and all(e <= away[i] for e, i in zip(w.ends(places), places, strict=True))
+        assert w.best(first) == min((d, i) for i, d in enumerate(away))
+        assert w.best(first, np.minimum(extra, 1.0), extra.__getitem__) == min((d + extra[i], i) for i, d in enumerate(away))
+    text = [rng.choice("bcdfglmn") + rng.choice("aeiou") + rng.choice("rstvz") for _ in range(900)]
+    w = windows.Windows(" ".join(x for i, x in enumerate(text[600:680]) if i % 7 != 2), text, 80, 800)
+    best = w.best(600)
+    assert len(w.known) < 20  # of 800
+    assert best == min((windows.char_distance(w.said, w.text(i)), i) for i in range(800))
+
+
+def test_whole_texts_are_neither_broadcast_nor_sorted(spark, tmp_path):
+    """N-grams of a text were joined with a broadcast, and texts went through windows with each of their chunks."""
+    rows = [(f, t, "user", f"aa bb{t} cc dd{f} ee ff gg{t}") for f in range(3) for t in range(5)]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    for name in ("J10_gram_votes", "L5_vote_start", "L1_unique_ngrams", "W15_first_positions"):
+        plan = alignment.QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan and "first(ref" not in plan
+    assert "ref" not in alignment.drifted(spark, str(tmp_path)).columns and "ref" not in records.replayed(spark, str(tmp_path)).columns
+
+
+def test_votes_equal_a_plain_version(spark):
+    rng = random.Random(12)
+    refs = [(f, [rng.choice("abc") for _ in range(n)]) for f, n in ((1, 40), (2, 3), (3, 0))]
+    chunks = [(f, c, [rng.choice("abcx") for _ in range(rng.randint(0, 9))]) for f in (1, 2, 3, 4) for c in range(4)]
+    c, r = spark.createDataFrame(chunks, "f int, c int, hyp array<string>"), spark.createDataFrame(refs, "f int, ref array<string>")
+    got = collections.Counter((v.f, v.c, v.n, v.start, round(float(v.weight), 9), v.j, v.p) for v in localize.gram_votes(c, r, "f", "c", "hyp", "ref").collect())
+    want = collections.Counter()
+    for f, k, hyp in chunks:
+        ref = dict(refs).get(f, [])
+        for n in (3, 4, 5):
+            for j in range(len(hyp) - n + 1):
+                places = [p for p in range(len(ref) - n + 1) if ref[p : p + n] == hyp[j : j + n]]
+                want.update((f, k, n, p - j, round(1 / len(places), 9), j, p) for p in places)
+    assert got == want

@@ -15,7 +15,7 @@ from wordloom.operators import segments as G
 from wordloom.operators import sequences as S
 from wordloom.operators import splits as P
 from wordloom.plans import derive as D
-from wordloom.plans.alignment import _BOTH, _SEGMENTS, DAYS, LOC_SQL, _segments, loc_chunks
+from wordloom.plans.alignment import _BOTH, _SEGMENTS, DAYS, LOC_SQL, _segments, loc_turns
 from wordloom.plans.derive import CHUNKS_SQL, TIMELINE_SQL, edits_sql, eval_sql, table
 from wordloom.plans.scoring import _SCORE, _SCORED
 
@@ -155,8 +155,8 @@ def l11(spark, sf):
     none = F.array().cast("array<string>")
     a = F.flatten(F.transform("said", lambda x, i: F.when((i + 1) % 7 == 3, none).otherwise(F.array(x))))
     b = F.transform("said", lambda x, i: F.when(((i + 1) % 5 == 2) & (F.col("chunk_index") % 2 == 0), F.concat(x, F.lit("xxx"))).otherwise(x))
-    c = loc_chunks(spark, sf).select("file_no", "chunk_index", F.array_join("said", " ").alias("s"), F.array_join(a, " ").alias("a"), F.array_join(b, " ").alias("b"))
-    chosen = F.when(E.norm_distance(F.col("b"), F.col("s")) <= E.norm_distance(F.col("a"), F.col("s")), F.col("b")).otherwise(F.col("a"))
+    c = loc_turns(spark, sf).select("file_no", "chunk_index", F.array_join("said", " ").alias("s"), F.array_join(a, " ").alias("a"), F.array_join(b, " ").alias("b"))
+    chosen = F.when(E.text_norm_distance(F.col("b"), F.col("s")) <= E.text_norm_distance(F.col("a"), F.col("s")), F.col("b")).otherwise(F.col("a"))
     return c.select("file_no", "chunk_index", R.winner_bucket(F.array_distinct(F.array("a", "b")), chosen).alias("winner"))
 
 

@@ -17,7 +17,7 @@ from wordloom.operators import reports as R
 from wordloom.operators import sequences as S
 from wordloom.operators import trim as C
 from wordloom.plans import derive as D
-from wordloom.plans.alignment import _GAPS, _best, l8, loc_chunks
+from wordloom.plans.alignment import _GAPS, _best, l8, loc_refs, loc_turns, two_options
 from wordloom.plans.corpus import _ASSIGN, _EXPS, _ROWS, _SPK, EXPERIMENTS, _experiments, assignment, results
 from wordloom.plans.derive import TIMELINE_SQL, eval_sql, table
 from wordloom.plans.files import folder
@@ -99,12 +99,9 @@ def s4(spark, sf):
 
 def lineage(spark, sf):
     """Whose hypothesis each chunk of a conversation used: the two options of L4 without repeats, and its choice."""
-    none = F.array().cast("array<string>")
-    a = F.flatten(F.transform("said", lambda x, i: F.when((i + 1) % 7 == 3, none).otherwise(F.array(x))))
-    b = F.transform("said", lambda x, i: F.when(((i + 1) % 5 == 2) & (F.col("chunk_index") % 2 == 0), F.concat(x, F.lit("xxx"))).otherwise(x))
-    options = loc_chunks(spark, sf).select("file_no", "chunk_index", F.array_distinct(F.array(F.array_join(a, " "), F.array_join(b, " "))).alias("options"))
-    chosen = _best(spark, sf).select("file_no", "chunk_index", "text")
-    return options.join(chosen, ["file_no", "chunk_index"]).select("file_no", "chunk_index", R.winner_bucket(F.col("options"), F.col("text")).alias("winner"))
+    options = two_options(spark, sf).withColumn("several", F.array_distinct("options"))
+    chosen = L.best_option(options, ["file_no", "chunk_index", "several"], "options", "ref", "expected", "speech", "wps")
+    return chosen.select("file_no", "chunk_index", R.winner_bucket(F.col("several"), F.col("text")).alias("winner"))
 
 
 @query("L11_chunk_winners")
@@ -117,18 +114,18 @@ def replayed(spark, sf):
 
     Drift is found in the distances of the first pass itself; chunks outside drift keep their place.
     """
-    first = _best(spark, sf).select("file_no", "chunk_index", "text", "start_idx", "end_idx", "nd")
-    c = loc_chunks(spark, sf).select("file_no", "chunk_index", "ref").join(first, ["file_no", "chunk_index"])
-    c = c.withColumn("hyp", F.filter(F.split("text", " "), lambda w: w != "")).withColumn("total", F.size("ref"))
+    total = loc_turns(spark, sf).select("file_no", "chunk_index", "total")
+    c = _best(spark, sf).select("file_no", "chunk_index", "text", "start_idx", "end_idx", "nd").join(total, ["file_no", "chunk_index"])
+    c = c.withColumn("hyp", F.filter(F.split("text", " "), lambda w: w != "")).drop("text")
     c = S.hysteresis(S.smooth(c, "nd", "file_no", ["chunk_index"]), "smoothed", "file_no", ["chunk_index"], DEFAULTS.drift_high, DEFAULTS.drift_low)
     c = S.numbered_runs(c, "state", "file_no", ["chunk_index"]).withColumn("run_n", F.count("*").over(Window.partitionBy("file_no", "run")))
     b = S.brackets(c, "file_no", ["chunk_index"], "start_idx", "end_idx", "total").where((F.col("run_n") >= DEFAULTS.drift_min_run)).withColumn("pos", F.col("chunk_index"))
-    plan = L.resync_runs(b.select("file_no", "run", "pos", "chunk_index", "hyp", "ref", "start_idx", "end_idx", "lo", "hi"), "file_no")
+    plan = L.resync_runs(b.select("file_no", "run", "pos", "chunk_index", "hyp", "start_idx", "end_idx", "lo", "hi"), "file_no", refs=loc_refs(spark, sf))
     moved = plan.where("status = 'resynced'").select("file_no", "chunk_index", "new_start", F.lit(True).alias("moved"))
     out = c.join(moved, ["file_no", "chunk_index"], "left")
     start = F.coalesce("new_start", "start_idx").cast("long")
     size = F.when(F.col("moved"), F.greatest(F.col("end_idx") - F.col("start_idx"), F.size("hyp"))).otherwise(F.col("end_idx") - F.col("start_idx"))
-    return out.select("file_no", "chunk_index", "ref", "hyp", "start_idx", "end_idx", "nd", start.alias("new_start"), F.least(start + size, F.col("total")).cast("long").alias("new_end"), F.coalesce("moved", F.lit(False)).alias("resynced"))
+    return out.select("file_no", "chunk_index", "hyp", "total", "start_idx", "end_idx", "nd", start.alias("new_start"), F.least(start + size, F.col("total")).cast("long").alias("new_end"), F.coalesce("moved", F.lit(False)).alias("resynced"))
 
 
 @query("L10_stage_replay")
@@ -136,16 +133,16 @@ def l10(spark, sf):
     return replayed(spark, sf).select("file_no", "chunk_index", "start_idx", "end_idx", "nd", "new_start", "new_end", "resynced")
 
 
-def stages(replay):
+def stages(replay, refs):
     """The reference of each chunk after each stage: found, re-synced, with the words of its gaps, without a weak tail and head.
 
-    A word's confidence is 0.9 where the recogniser said it and 0.1 elsewhere, as an aligner would tell them apart.
+    refs: file_no, ref; chunks meet it after all that is ordered. A word's confidence is 0.9 where the recogniser said it and 0.1 elsewhere, as an aligner would tell them apart.
     """
     near = Window.partitionBy("file_no").orderBy("chunk_index")
     cut = lambda a, b: F.slice("ref", (a + 1).cast("int"), F.greatest(b - a, F.lit(0)).cast("int"))
-    before, after = F.coalesce(F.lag("new_end").over(near), F.lit(0)), F.coalesce(F.lead("new_start").over(near), F.size("ref"))
+    before, after = F.coalesce(F.lag("new_end").over(near), F.lit(0)), F.coalesce(F.lead("new_start").over(near), F.col("total"))
     r = replay.withColumn("lo", F.greatest(F.least(before, F.col("new_start")), F.col("new_start") - 5)).withColumn("hi", F.least(F.greatest(after, F.col("new_end")), F.col("new_end") + 5))
-    r = r.select("file_no", "chunk_index", "hyp", cut(F.col("start_idx"), F.col("end_idx")).alias("pass1"), cut(F.col("new_start"), F.col("new_end")).alias("resync"), cut(F.col("lo"), F.col("hi")).alias("pass2"))
+    r = r.join(refs, "file_no").select("file_no", "chunk_index", "hyp", cut(F.col("start_idx"), F.col("end_idx")).alias("pass1"), cut(F.col("new_start"), F.col("new_end")).alias("resync"), cut(F.col("lo"), F.col("hi")).alias("pass2"))
     score = lambda words: F.transform(words, lambda w: F.when(F.array_contains("hyp", w), 0.9).otherwise(0.1))
     r = C.with_split(r.withColumn("s", score("pass2")), "s", True).withColumn("tailtrim", C.keep_words(F.col("pass2"), F.col("trim"), True)).drop("split", "contrast", "side_mean", "top_half", "trim")
     r = C.with_split(r.withColumn("s", score("tailtrim")), "s", False).withColumn("headtrim", C.keep_words(F.col("tailtrim"), F.col("trim"), False))
@@ -156,7 +153,7 @@ def stages(replay):
 
 @query("A18_replayed_stages")
 def a18(spark, sf):
-    return R.stage_proxy_wer(stages(replayed(spark, sf)), "file_no")
+    return R.stage_proxy_wer(stages(replayed(spark, sf), loc_refs(spark, sf)), "file_no")
 
 
 @query("L9_merged_turns", f"""WITH w AS (SELECT conv_id, turn, list_filter(string_split(text, ' '), lambda x: x <> '') AS ws FROM conversations),
