@@ -550,3 +550,38 @@ def test_votes_equal_a_plain_version(spark):
                 places = [p for p in range(len(ref) - n + 1) if ref[p : p + n] == hyp[j : j + n]]
                 want.update((f, k, n, p - j, round(1 / len(places), 9), j, p) for p in places)
     assert got == want
+
+
+def test_batches_are_aligned_as_single_pairs_are():
+    import pyarrow as pa
+
+    rng = random.Random(4)
+    for most, alphabet in ((9, "abcde"), (0, "a"), (130, "abcdefgh")):
+        pairs = [([rng.choice(alphabet) for _ in range(rng.randint(0, most))], [rng.choice(alphabet) for _ in range(rng.randint(0, most))]) for _ in range(80)] + [(None, ["a"]), (["a"], None)]
+        ref, hyp = (pa.array([["x"], *[p[k] for p in pairs]], pa.list_(pa.string()))[1:] for k in (0, 1))
+        for (r, h), ops, edits in zip(pairs, E.aligned(ref, hyp, True).to_pylist(), E.aligned(ref, hyp, False).to_pylist(), strict=True):
+            want = None if r is None or h is None else E.align_words(r, h)
+            assert ops == (want and [E.OP_NAMES.index(o) | i << 2 | j << 32 for o, _, _, i, j in want])
+            assert edits == (None if want is None else sum(o[0] != "equal" for o in want))
+
+
+def test_words_are_cut_out_in_one_pass(spark):
+    for t in ("Hello, WORLD!  it's 12.", "", " -a\tb\nÉcİ d- ", "...", "ß1 2 3"):
+        assert one(spark, T.score_words(F.col("t")), t=t) == one(spark, T.words(T.score_text(F.col("t"))), t=t)
+    assert one(spark, T.score_text(F.col("t")), t=" -a\tb\nÉc ") == "a b c" and one(spark, T.clean_text(F.col("t")), t="é1a\n\tb' 2C ") == "a b c"
+
+
+def test_comparison_computes_experiments_and_results_once(spark):
+    e = spark.createDataFrame([("a", 0, "m", "v", 0.4, True, "g1", 0.3), ("b", 1, "m", "v", None, True, "g2", 0.2)], "experiment string, position int, manifest_md5 string, normalizer string, conf_filter_threshold double, padded boolean, gpu string, corpus_wer double")
+    r = spark.createDataFrame([("a", "f", "s", 0.5, 10), ("b", "f", "s", 0.25, 12)], "experiment string, file string, speaker string, corpus_wer double, ref_words int")
+    times = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            times.add(len(b))
+            yield b
+
+    found = X.compare(e.mapInPandas(counted, e.schema), r, ["a", "b"])
+    assert found.rows.count() == 2 and found.checks.first().wer_comparable and times.value == 2
+    assert "Join" not in found.speakers._jdf.queryExecution().executedPlan().toString()
+    assert [(x.ref_words, x.wer_a, x.wer_b, x.delta_b) for x in found.speakers.collect()] == [(12, 0.5, 0.25, -0.25)]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,11 +23,11 @@ def _wer() -> Column:
     return F.try_divide(F.sum("edits").cast("double"), F.sum("ref_words").cast("double"))
 
 
-def corpus_wer(rows: DataFrame, *keys: str) -> DataFrame:
-    """A1, A3: corpus and mean utterance WER, overall or by keys."""
+def corpus_wer(rows: DataFrame, *keys: str, more: Sequence[Column] = ()) -> DataFrame:
+    """A1, A3: corpus and mean utterance WER, overall or by keys; more: other sums of the same pass."""
     return scored(rows).groupBy(*keys).agg(
         F.sum("edits").alias("edits"), F.sum("ref_words").alias("ref_words"), _wer().alias("corpus_wer"), F.round(F.avg("wer"), 9).alias("mean_utt_wer"),
-        F.count_if(F.expr("ref_words > 0")).alias("n_scored"), F.count_if(F.expr("ref_words = 0")).alias("n_empty_ref"),
+        F.count_if(F.expr("ref_words > 0")).alias("n_scored"), F.count_if(F.expr("ref_words = 0")).alias("n_empty_ref"), *more,
     )
 
 

@@ -30,10 +30,10 @@ def ranked(experiments: DataFrame, baseline: str) -> DataFrame:
 
 
 def per_speaker(results: DataFrame, experiments: list[str], baseline: str) -> DataFrame:
-    """A row for each (file, speaker) in any experiment, its WER in each and the differences to the baseline."""
-    p = results.groupBy("file", "speaker").pivot("experiment", experiments).agg(F.first("corpus_wer"))
-    refs = results.groupBy("file", "speaker").agg(F.max("ref_words").alias("ref_words"))
-    p = p.join(refs, ["file", "speaker"])
+    """A row for each (file, speaker) in any experiment, its WER in each and the differences to the baseline; results are
+    read once."""
+    wer = [F.max(F.when(F.col("experiment") == e, F.col("corpus_wer"))).alias(e) for e in experiments]
+    p = results.groupBy("file", "speaker").agg(F.max("ref_words").alias("ref_words"), *wer)
     deltas = [F.round(F.col(e) - F.col(baseline), 6).alias(f"delta_{e}") for e in experiments if e != baseline]
     return p.select("file", "speaker", "ref_words", *[F.round(e, 6).alias(f"wer_{e}") for e in experiments], *deltas)
 
@@ -106,13 +106,15 @@ def compare(experiments: DataFrame, results: DataFrame, names: list[str], baseli
     """Gate, rank and difference to the baseline (the first name without one; put in front if it isn't named), speakers.
 
     experiments: experiment, position, the checked properties, corpus_wer. results: experiment, file, speaker, corpus_wer,
-    ref_words. Missing experiments are an error. The gate alone is run here, as it decides whether speakers are compared.
+    ref_words. Missing experiments are an error. The experiments (a row each) are computed here, once: the gate decides whether
+    speakers are compared.
     """
     names = list(names)
     if baseline is not None and baseline not in names:
         names = [baseline, *names]
     baseline = baseline or names[0]
-    chosen = require(experiments, names)
+    spark, rows = experiments.sparkSession, experiments.where(F.col("experiment").isin(*names)).collect()
+    chosen = require(spark.createDataFrame(rows, experiments.schema), names)
     gate = comparability(chosen, checks)
     speakers = per_speaker(results.where(F.col("experiment").isin(*names)), names, baseline) if gate.first()["wer_comparable"] else None
     return Comparison(gate, ranked(chosen, baseline), speakers, baseline, names)

@@ -20,7 +20,7 @@ def eval_rows(spark: SparkSession, sf_dir: str, drop: int = 11, plural: int = 13
 
     seg_index is unique in the corpus. Some references and hypotheses are empty.
     """
-    d = table(spark, sf_dir, "documents").select("doc_id", T.words(T.score_text(F.coalesce("text", F.lit("")))).alias("w"))
+    d = table(spark, sf_dir, "documents").select("doc_id", T.score_words(F.coalesce("text", F.lit(""))).alias("w"))
     cuts = F.sequence(F.lit(0), F.greatest(F.ceil(F.size("w") / UTTERANCE).cast("int") - 1, F.lit(0)))
     d = d.select("doc_id", F.posexplode(F.transform(cuts, lambda s: F.slice(F.col("w"), s * UTTERANCE + 1, UTTERANCE))).alias("seg", "ref"))
     at = F.col("seg") * UTTERANCE + 1
@@ -103,7 +103,7 @@ def conversation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "conversations")
     w = Window.partitionBy("conv_id").orderBy("turn")
     c = c.withColumn("before", F.lag("text").over(w)).where("before is not null")
-    return c.select("conv_id", "turn", "role", T.words(T.score_text(F.col("before"))).alias("ref"), T.words(T.score_text(F.col("text"))).alias("hyp"))
+    return c.select("conv_id", "turn", "role", T.score_words(F.col("before")).alias("ref"), T.score_words(F.col("text")).alias("hyp"))
 
 
 PAIRS_SQL = f"""lagged AS (SELECT *, lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS before FROM conversations),
