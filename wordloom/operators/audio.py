@@ -69,11 +69,13 @@ def samples(files: DataFrame, rate: int = RATE) -> DataFrame:
 def cut(audio: DataFrame, spans: DataFrame, file: str, start: str = "start_s", end: str = "end_s", rate: int = RATE) -> DataFrame:
     """AU4: the samples of [start, end) seconds of each span of a file. audio: file, pcm; spans keep their columns.
 
-    Samples are cut by the engine, two bytes each; the file's samples are beside its spans only inside the join's task.
+    Samples are cut by the engine, two bytes each; the file's samples are beside its spans only inside the join's task, where
+    they pass by the hashed spans: samples aren't sorted, as they compress so well that a partition would hold too many.
     """
     at = lambda c: F.round(F.col(c) * rate).cast("int")
     piece = F.expr(f"substring(pcm, 2 * cast(round({start} * {rate}) as int) + 1, 2 * greatest(0, cast(round({end} * {rate}) as int) - cast(round({start} * {rate}) as int)))")
-    return spans.join(audio.select(file, "pcm"), file).withColumn("pcm", piece).withColumn("n_samples", F.greatest(F.lit(0), at(end) - at(start)))
+    joined = audio.select(file, "pcm").join(spans.hint("shuffle_hash"), file).select(*spans.columns, "pcm")
+    return joined.withColumn("pcm", piece).withColumn("n_samples", F.greatest(F.lit(0), at(end) - at(start)))
 
 
 def spliced(segments: DataFrame, chunks: DataFrame, file: str = "file_no", key: str = "seg_index", span=("start_abs", "end_abs"), bucket_s: float = 600.0, rate: int = RATE) -> DataFrame:
