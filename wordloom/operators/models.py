@@ -11,16 +11,21 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Rows whose words an aligner holds as Python objects at one time.
+ALIGNED_AT_ONCE = 256
 WORDS = "array<struct<word:string,start:double,end:double,score:double>>"
 
 
-def apply_model(rows: DataFrame, model: Callable[[pd.DataFrame], pd.DataFrame], adds: str) -> DataFrame:
-    """M1 to M5: the rows with the model's columns; a batch that fails is retried by Spark as its task is."""
+def apply_model(rows: DataFrame, model: Callable[[pd.DataFrame], pd.DataFrame], adds: str, at_once: int | None = None) -> DataFrame:
+    """M1 to M5: the rows with the model's columns; a batch that fails is retried by Spark as its task is.
+
+    at_once: the model sees no more rows together, for results that are much larger than their rows."""
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema), adds])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield model(b)
+            for k in range(0, len(b), at_once or max(len(b), 1)):
+                yield model(b.iloc[k : k + (at_once or len(b))])
 
     return rows.mapInPandas(run, schema)
 
@@ -44,7 +49,7 @@ def align(rows: DataFrame, model) -> DataFrame:
                     words.append([])
             return batch.assign(words=pd.Series(words, index=batch.index, dtype=object))
 
-    return apply_model(rows, one_by_one, f"words {WORDS}")
+    return apply_model(rows, one_by_one, f"words {WORDS}", at_once=ALIGNED_AT_ONCE)
 
 
 def merged_regions(regions: Column, chunk_s: float = 30.0) -> Column:
