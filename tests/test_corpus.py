@@ -15,7 +15,7 @@ from wordloom.functions import windows
 from wordloom.operators import audio, evaluate, intervals, localize, models, segments, sequences, splits, trim
 from wordloom.operators import experiments as X
 from wordloom.operators import reports as R
-from wordloom.plans import alignment, records
+from wordloom.plans import alignment, files, records
 from wordloom.sources import readers, sinks
 from wordloom.streaming.sessions import speaker_sessions
 
@@ -585,3 +585,63 @@ def test_comparison_computes_experiments_and_results_once(spark):
     assert found.rows.count() == 2 and found.checks.first().wer_comparable and times.value == 2
     assert "Join" not in found.speakers._jdf.queryExecution().executedPlan().toString()
     assert [(x.ref_words, x.wer_a, x.wer_b, x.delta_b) for x in found.speakers.collect()] == [(12, 0.5, 0.25, -0.25)]
+
+
+def test_words_without_a_duration_share_no_time_with_a_chunk(spark, tmp_path):
+    from datetime import datetime
+
+    rows = [(0, datetime(2024, 1, 1, 3), 1, "view", 0.0), (1, datetime(2024, 1, 2, 3), 1, "view", 1.5), (2, datetime(2024, 1, 2, 3, 0, 0, 123450), 1, "view", 0.0)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double").write.parquet(f"{tmp_path}/events.parquet")
+    speech = {r.chunk_index: r.speech_s for r in alignment.QUERIES["N9_speech_seconds"](spark, str(tmp_path)).collect()}
+    assert (speech[1], speech[2], len(speech)) == (82_800.0, 30.0, 30)
+    assert [(r.chunk_index, r.regions, r.speech_s, r.first_s) for r in alignment.QUERIES["J5_clip_regions"](spark, str(tmp_path)).collect()] == [(2, 1, 30.0, 10_800.0)]
+    # as in SQL, where the scaled number is 352345394.49999994
+    assert one(spark, intervals.rounded(F.col("x"), 4), x=35234.53945) == round(35234.53945 * 1e4) / 1e4 == 35234.5394
+
+
+def test_recordings_are_files_beside_each_other(spark, tmp_path, monkeypatch):
+    """A folder for each recording and task took most of the time."""
+    from datetime import datetime, timedelta
+
+    rows = [(k, datetime(2024, 1, 1) + timedelta(hours=k), k % 5, "view", 90_000.0) for k in range(60)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double").repartition(7).write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(files, "folder", lambda s, what: f"file://{tmp_path}/{what}")
+    for name, kind, n in (("SC6_SK5_labels", "txt", "n"), ("SC3_SK1_json_documents", "json", "words")):
+        got = files.QUERIES[name](spark, str(tmp_path)).collect()
+        made = list((tmp_path / ("labels" if kind == "txt" else "documents")).rglob("*." + kind))
+        assert {r.file_no for r in got} == set(range(5)) and len(made) == 5 and len({m.parent for m in made}) == 1
+        assert sum(r[n] for r in got) == (60 if kind == "json" else sum(k % 11 != 0 for k in range(60)))
+
+
+def test_samples_and_words_pass_by_hashed_rows(spark):
+    """Both were sorted, and words grouped, in the task that joined them."""
+    c = spark.createDataFrame([(1, 1, 0.0, 10.0), (1, 2, 5.0, 20.0)], "f int, chunk_index int, start_s double, end_s double")
+    w = spark.createDataFrame([(1, 0, 7.0), (1, 1, 12.0), (1, 2, 30.0), (2, 3, 1.0)], "f int, k int, t double")
+    found = intervals.chunk_of_point(w, c, "f", "k", "t", bucket_s=4.0)
+    assert {r.k: r.chunk_index for r in found.collect()} == {0: 1, 1: 2, 2: 2}
+    audio_rows = spark.createDataFrame([(1, bytearray(b"aabbcc"))], "f int, pcm binary")
+    cut = audio.cut(audio_rows, spark.createDataFrame([(1, 0.1, 0.2)], "f int, start_s double, end_s double"), "f", rate=10)
+    assert bytes(cut.first().pcm) == b"bb"
+    for df in (found, cut):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_aligner_sees_few_rows_at_once(spark):
+    most = models.ALIGNED_AT_ONCE
+
+    def model(batch):
+        assert len(batch) <= most
+        return models.fake_aligner(batch)
+
+    rows = spark.range(most * 2 + 5).coalesce(1).select("id", F.lit("a b").alias("text"), F.lit(1.0).alias("duration"))
+    assert {len(r.words) for r in models.apply_model(rows, model, f"words {models.WORDS}", most).collect()} == {2}
+    with pytest.raises(Exception, match="AssertionError"):
+        models.apply_model(rows, model, f"words {models.WORDS}").collect()
+    sizes = spark.sparkContext.accumulator(0)
+
+    def counted(batch):
+        sizes.add(len(batch) > most)
+        return models.fake_aligner(batch)
+
+    assert models.align(rows, counted).where("size(words) = 2").count() == most * 2 + 5 and sizes.value == 0

@@ -15,6 +15,11 @@ def clip_regions(regions: Column, lo: Column, hi: Column) -> Column:
     return F.transform(F.filter(cut, lambda r: r["end"] > r["start"]), lambda r: F.struct(F.round(r["start"] - lo, 4).alias("start"), F.round(r["end"] - lo, 4).alias("end")))
 
 
+def rounded(col: Column, places: int) -> Column:
+    """Rounded as SQL engines round doubles: the scaled number as it is, not its decimal digits, so 0.15 * 10 decides."""
+    return F.round(col * F.lit(10.0**places)) / F.lit(10.0**places)
+
+
 def _cells(start: str, end: str, bucket_s: float) -> Column:
     return F.explode(F.sequence(F.floor(F.col(start) / bucket_s), F.floor(F.greatest(F.col(end), F.col(start)) / bucket_s)))
 
@@ -74,11 +79,15 @@ def best_chunk(segments: DataFrame, chunks: DataFrame, file: str, key: str, span
 def chunk_of_point(words: DataFrame, chunks: DataFrame, file: str, key: str, at: str = "start_abs", chunk_order: str = "chunk_index", bucket_s: float = BUCKET) -> DataFrame:
     """The first chunk that contains the time (ends included), or else the one with the nearest edge.
 
-    A word falls into one time bucket and a chunk into those that it touches; the others are merged with the edges.
+    A word falls into one time bucket and a chunk into those that it touches, whose chunks are one row; so words pass by the
+    hashed buckets, neither sorted nor grouped. Those outside all chunks are merged with the edges. `key` tells words apart.
     """
     t = F.col(at)
-    each = _beside(words.select(file, key, at), chunks, file, chunk_order, F.floor(t / bucket_s), bucket_s, t.between(F.col("start_s"), F.col("end_s")))
-    best = each.groupBy(file, key).agg(F.min(chunk_order).alias(chunk_order), F.min(t).alias("at"))
+    cells = chunks.select(F.col(file).alias("__f"), F.struct(chunk_order, "start_s", "end_s").alias("c"), _cells("start_s", "end_s", bucket_s).alias("__c"))
+    cells = cells.groupBy("__f", "__c").agg(F.collect_list("c").alias("__near"))
+    each = words.select(file, key, t.alias("at"), F.floor(t / bucket_s).alias("__b")).join(cells.hint("shuffle_hash"), (F.col(file) == F.col("__f")) & (F.col("__b") == F.col("__c")), "left")
+    holding = F.filter("__near", lambda c: F.col("at").between(c["start_s"], c["end_s"]))
+    best = each.select(file, key, F.array_min(F.transform(holding, lambda c: c[chunk_order])).alias(chunk_order), "at")
     edges = chunks.select(file, chunk_order, F.explode(F.array("start_s", "end_s")).alias("at"))
     alone = nearest(best.where(F.col(chunk_order).isNull()).select(file, key, "at"), edges, file, key, chunk_order)
     return best.where(F.col(chunk_order).isNotNull()).drop("at").unionByName(alone)
